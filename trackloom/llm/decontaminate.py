@@ -178,13 +178,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
         size += len(row[1])
     if len(blocks) == 1:
         return scan(blocks[0])
-    for items in blocks:
-        part = scan(items).where("contaminated")
+    for number, items in enumerate(blocks):
+        part = scan(items).where("contaminated").withColumn("block", F.lit(number))
         out = part if out is None else out.unionByName(part)
-    pairs = out.select("doc_id", "tag", "n_windows", F.explode(F.arrays_zip("item_ids", "first_bytes")).alias("m"))
-    windows = out.groupBy("doc_id", "tag", "item_ids").agg(F.max("n_windows").alias("n")).groupBy("doc_id", "tag").agg(F.sum("n").cast("int").alias("n_windows"))
-    per = pairs.groupBy("doc_id", "tag", "m.item_ids").agg(F.min("m.first_bytes").alias("first")).groupBy("doc_id", "tag").agg(F.sort_array(F.collect_list(F.struct(F.col("item_ids").alias("item"), "first"))).alias("m"))
-    per = per.join(windows, ["doc_id", "tag"]).select(F.col("doc_id").alias("of"), F.col("tag").alias("of_tag"), "n_windows", "m")
+    whole = out.dropDuplicates(["doc_id", "tag", "block"]).groupBy("doc_id", "tag").agg(F.sum("n_windows").cast("int").alias("n_windows"), F.flatten(F.collect_list(F.arrays_zip("item_ids", "first_bytes"))).alias("all"))
+    items = whole.select("doc_id", "tag", "n_windows", F.explode("all").alias("m")).groupBy("doc_id", "tag", "n_windows", F.col("m.item_ids").alias("item")).agg(F.min("m.first_bytes").alias("first"))
+    per = items.groupBy(F.col("doc_id").alias("of"), F.col("tag").alias("of_tag"), "n_windows").agg(F.sort_array(F.collect_list(F.struct("item", "first"))).alias("m"))
     ids = base.select("doc_id", "tag")
     return ids.join(per, ids.doc_id.eqNullSafe(per.of) & (ids.tag == per.of_tag), "left").select(
         "doc_id", "tag", F.col("m").isNotNull().alias("contaminated"), F.coalesce("n_windows", F.lit(0)).alias("n_windows"), F.coalesce(F.col("m.item"), F.array().cast("array<long>")).alias("item_ids"), F.coalesce(F.col("m.first"), F.array().cast("array<long>")).alias("first_bytes")

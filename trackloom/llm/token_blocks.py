@@ -9,6 +9,8 @@ Shards are rows of a Parquet table (part, seq, document index, image), so that a
 
 from __future__ import annotations
 
+import functools
+import os
 import re
 import zlib
 
@@ -113,7 +115,7 @@ def decode_shard(image: bytes) -> np.ndarray:
 class Encoder:
     """Ids of whole texts by the tokenizers library.
 
-    The tokenizer's pre-tokenizer always cuts before a single space between two non-blank characters, so the pieces between such cuts are encoded one by one without changing any id, and frequent pieces are looked up. At most ``CACHE_PIECES`` pieces are kept; others are encoded again.
+    The tokenizer's pre-tokenizer always cuts before a single space between two non-blank characters, so the pieces between such cuts can be encoded apart without changing any id. Pieces met before are looked up; new ones are encoded joined, and the ids cut where the pieces end. When more than ``CACHE_PIECES`` pieces are kept, all are forgotten.
     """
 
     SAFE = re.compile(r"(?<=\S) (?=\S)")
@@ -124,36 +126,62 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.pieces: dict[str, bytes] = {}
+        # Bytes that each id stands for: a byte-level token has one character a byte.
+        self.width = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.width[i] = len(token)
 
     def _pieces(self, text: str) -> list[str]:
         plain = not ("  " in text or " \n" in text or "\n " in text) and text.replace("\n", "").isprintable()
         first, *rest = text.split(" ") if plain else self.SAFE.split(text)
         return [first, *[" " + x for x in rest]]
 
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, missing: list[str]) -> None:
+        known, joined = self.pieces, []
+        for p in missing:
+            if len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace():
+                joined.append(p)
+            else:
+                known[p] = self._ids(p).tobytes()
+        for lo in range(0, len(joined), 4096):
+            few = joined[lo : lo + 4096]
+            ids = self._ids("".join(few))
+            ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(p.encode()) for p in few])) + 1
+            raw, at = ids.tobytes(), 0
+            for p, end in zip(few, (4 * ends).tolist(), strict=True):
+                known[p] = raw[at:end]
+                at = end
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut, known = [self._pieces(t) for t in texts], self.pieces
         missing = list({p: None for pieces in cut for p in pieces if p not in known})
         if missing:
-            found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-            known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(missing, found, strict=True))
+            self._learn(missing)
         out = [b"".join([known[p] for p in pieces]) for pieces in cut]
         if len(known) > CACHE_PIECES:
             known.clear()
         return out
 
 
+@functools.lru_cache(1)
+def _encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a worker."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Encoder(path)
+
+
 SHARD = "part int, seq int, n_tokens long, doc_ids array<long>, lengths array<long>, image binary"
 
 
 def _shards(path: str, end_id: int, shard_ids: int):
     def run(batches):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from pyspark import TaskContext
 
-        encoder, end, part, seq = Encoder(path), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), 0
+        encoder, end, part, seq = _encoder(path), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), 0
         ids, data, size = [], [], 0
 
         def out():
@@ -162,8 +190,8 @@ def _shards(path: str, end_id: int, shard_ids: int):
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "n_tokens": pa.array([sum(lengths)], pa.int64()), "doc_ids": pa.array([ids], pa.list_(pa.int64())), "lengths": pa.array([lengths], pa.list_(pa.int64())), "image": pa.array([image], pa.binary())})
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                few = batch.slice(lo, 512)
+            for lo in range(0, batch.num_rows, 128):
+                few = batch.slice(lo, 128)
                 for doc_id, x in zip(few.column(0).to_pylist(), encoder.encode(few.column(1).to_pylist()), strict=True):
                     ids.append(doc_id)
                     data.append(x + end)

@@ -30,14 +30,18 @@ MAGIC = b"TLPF"
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
-    """Rows of unsigned values as rows of bytes, ``width`` bits each."""
-    bits = ((values[:, :, None] >> np.arange(width, dtype=np.uint32)) & 1).astype(np.uint8)
-    return np.packbits(bits.reshape(len(values), -1), axis=1, bitorder="little")
+    """Rows of unsigned values as rows of bytes, ``width`` bits each, high bits first."""
+    kind, size = (">u2", 16) if width <= 16 else (">u4", 32)
+    bits = np.unpackbits(values.astype(kind).view(np.uint8).reshape(*values.shape, size // 8), axis=2)[:, :, size - width :]
+    return np.packbits(bits.reshape(len(values), -1), axis=1)
 
 
 def _unpack(raw: np.ndarray, n: int, width: int) -> np.ndarray:
-    bits = np.unpackbits(raw, axis=1, bitorder="little")[:, : n * width].reshape(len(raw), n, width)
-    return np.bitwise_or.reduce(bits.astype(np.uint32) << np.arange(width, dtype=np.uint32), axis=2) if width else np.zeros((len(raw), n), np.uint32)
+    """The inverse of :func:`_pack`, for n values a row."""
+    kind, size = (">u2", 16) if width <= 16 else (">u4", 32)
+    bits = np.zeros((len(raw), n, size), np.uint8)
+    bits[:, :, size - width :] = np.unpackbits(raw, axis=1)[:, : n * width].reshape(len(raw), n, width)
+    return np.packbits(bits, axis=2).reshape(len(raw), -1).view(kind).astype(np.uint32)
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
@@ -115,7 +119,7 @@ def decode_shard(image: bytes) -> np.ndarray:
 class Encoder:
     """Ids of whole texts by the tokenizers library.
 
-    The tokenizer's pre-tokenizer always cuts before a single space between two non-blank characters, so the pieces between such cuts can be encoded apart without changing any id. Pieces met before are looked up; new ones are encoded joined, and the ids cut where the pieces end. When more than ``CACHE_PIECES`` pieces are kept, all are forgotten.
+    The tokenizer's pre-tokenizer always cuts before a single space between two non-blank characters, and between a letter and the full stops or commas after it, so pieces between such cuts can be encoded apart without changing any id. Pieces met before are looked up; new ones are encoded joined, and the ids cut where the pieces end. Pieces are kept in two generations of at most about ``CACHE_PIECES``: when the young one is full it becomes the old one, and what is used again moves on.
     """
 
     SAFE = re.compile(r"(?<=\S) (?=\S)")
@@ -125,7 +129,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.pieces: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         # Bytes that each id stands for: a byte-level token has one character a byte.
         self.width = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
@@ -140,10 +145,25 @@ class Encoder:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, missing: list[str]) -> None:
-        known, joined = self.pieces, []
+        known, old, joined, tails = self.young, self.old, [], []
         for p in missing:
-            if len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace():
-                joined.append(p)
+            if p in known:
+                continue
+            if (found := old.get(p)) is not None:
+                known[p] = found
+            elif len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace():
+                base = p.rstrip(".,")
+                if base == p or not base[-1:].isalpha():
+                    base = p
+                else:
+                    tails.append((p, base))
+                    if base in known:
+                        continue
+                    if (found := old.get(base)) is not None:
+                        known[base] = found
+                        continue
+                known[base] = b""
+                joined.append(base)
             else:
                 known[p] = self._ids(p).tobytes()
         for lo in range(0, len(joined), 4096):
@@ -154,16 +174,24 @@ class Encoder:
             for p, end in zip(few, (4 * ends).tolist(), strict=True):
                 known[p] = raw[at:end]
                 at = end
+        for p, base in tails:
+            tail = p[len(base) :]
+            if tail not in known:
+                known[tail] = self._ids(tail).tobytes()
+            known[p] = known[base] + known[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut, known = [self._pieces(t) for t in texts], self.pieces
-        missing = list({p: None for pieces in cut for p in pieces if p not in known})
-        if missing:
-            self._learn(missing)
-        out = [b"".join([known[p] for p in pieces]) for pieces in cut]
-        if len(known) > CACHE_PIECES:
-            known.clear()
+        out, get = [], self.young.get
+        for text in texts:
+            pieces = self._pieces(text)
+            ids = list(map(get, pieces))
+            if None in ids:
+                self._learn([p for p, x in zip(pieces, ids, strict=True) if x is None])
+                ids = map(get, pieces)
+            out.append(b"".join(ids))
+        if len(self.young) > CACHE_PIECES:
+            self.young, self.old = {}, self.young
         return out
 
 

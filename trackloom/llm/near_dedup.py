@@ -21,8 +21,8 @@ ROWS = 4
 COMPONENTS = BANDS * ROWS
 BATCH_WORDS = 1 << 19
 CACHE_WORDS = 1 << 19
-#: Least agreement of two signatures for a pair of an open bucket to be verified: nine standard deviations below a similarity of 0.8.
-LEAST_AGREEMENT = 0.4
+#: Least agreement of two signatures for a pair to be verified: over six standard deviations below a similarity of 0.8.
+LEAST_AGREEMENT = 0.5
 _P, _A, _B = np.uint64(0x9FB21C651E98DF25), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -72,10 +72,10 @@ def multisets(texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarray, n
             values.append(v[first])
             counts.append(np.diff(first, append=len(v)))
         elif n:
-            whole = np.uint64(n)
+            whole = np.array([n], np.uint64)
             for w in flat[lo : lo + n]:
-                whole = (np.multiply(whole, _A, dtype=np.uint64) ^ w) if False else np.bitwise_xor(np.array([whole], np.uint64) * _A, w)[0]
-            values.append(_mix(np.array([whole], np.uint64)))
+                whole = whole * _A ^ w
+            values.append(_mix(whole))
             counts.append(np.ones(1, np.int64))
         cuts.append(cuts[-1] + (len(values[-1]) if n else 0))
     if not values:
@@ -89,18 +89,19 @@ def signatures(values: np.ndarray, counts: np.ndarray, cuts: np.ndarray, m: int
     out = np.zeros((n, m), np.uint64)
     doc = np.repeat(np.arange(n), np.diff(cuts))
     total = np.bincount(doc, counts, n) if len(doc) else np.zeros(n)
-    # One row for each shingle and dyadic interval: its seed, the interval's length and the weight that bounds it.
-    owner, seed, length, weight = [doc], [values + _A], [np.ones(len(doc))], [counts]
-    k, rest = 1, np.flatnonzero(counts > 1)
+    # One row for each shingle and dyadic interval: its text, its seed, the interval's lower end (0 for the first) and the shingle's weight.
+    owner, seed, low, weight = [doc], [values + _A], [np.zeros(len(doc))], [counts]
+    k, rest = 0, np.flatnonzero(counts > 1)
     while len(rest):
         owner.append(doc[rest])
-        seed.append(values[rest] + _A * np.uint64(k + 1))
-        length.append(np.full(len(rest), 2.0 ** (k - 1)))
+        seed.append(values[rest] + _A * np.uint64(k + 2))
+        low.append(np.full(len(rest), 2.0**k))
         weight.append(counts[rest])
-        rest = rest[counts[rest] > 2**k]
         k += 1
-    owner, seed, length, weight = (np.concatenate(x) for x in (owner, seed, length, weight))
+        rest = rest[counts[rest] > 2**k]
+    owner, seed, low, weight = (np.concatenate(x) for x in (owner, seed, low, weight))
     seed = _mix(seed)
+    length = np.maximum(low, 1.0)
     rate = length * m
     first = -np.log(_unit(_mix(seed + _B))) / rate
     todo, horizon = total > 0, np.where(total > 0, (np.log(m) + 4.0) / np.maximum(total, 1), 0.0)
@@ -111,8 +112,7 @@ def signatures(values: np.ndarray, counts: np.ndarray, cuts: np.ndarray, m: int
         while len(live):
             s = seed[live]
             point = _mix(s + _A * np.uint64(2 * step))
-            level = length[live] * (1.0 + _unit(_mix(point + _B)))
-            ok = (length[live] == 1.0) & (level <= 2.0) if step < 0 else np.where(_base(owner, live, doc), True, level <= weight[live])
+            ok = low[live] + length[live] * _unit(_mix(point + _B)) <= weight[live]
             keys.append((owner[live] * m + (point % np.uint64(m)).astype(np.int64))[ok])
             times.append(when[ok])
             points.append(point[ok])
@@ -129,3 +129,163 @@ def signatures(values: np.ndarray, counts: np.ndarray, cuts: np.ndarray, m: int
         todo &= ~full
         horizon = horizon * 2
     return out
+
+
+PROFILE = "doc_id long, tag long, node binary, bands array<long>, signature binary"
+
+
+def _profile(batches):
+    import xxhash
+
+    words = Words()
+    for batch in batches:
+        ids, tags, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
+        lo = 0
+        while lo < len(texts):
+            hi, size = lo, 0
+            while hi < len(texts) and (hi == lo or size < 6 * BATCH_WORDS):
+                size += len(texts[hi])
+                hi += 1
+            values, counts, cuts = multisets(texts[lo:hi], words)
+            sig = signatures(values, counts, cuts)
+            nodes = [xxhash.xxh3_128_digest(values[a:b].tobytes() + counts[a:b].tobytes()) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+            bands = sig.reshape(-1, BANDS, ROWS)
+            mixed = np.zeros((hi - lo, BANDS), np.uint64) + np.arange(BANDS, dtype=np.uint64)
+            for r in range(ROWS):
+                mixed = _mix(mixed * _A + bands[:, :, r])
+            some = np.diff(cuts) > 0
+            listed = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(some * BANDS))).astype(np.int32)), pa.array(mixed[some].ravel().view(np.int64)))
+            low = np.ascontiguousarray((sig & np.uint64(0xFF)).astype(np.uint8))
+            yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), tags.slice(lo, hi - lo), pa.array(nodes, pa.binary()), listed, pa.array([x.tobytes() for x in low], pa.binary())], ["doc_id", "tag", "node", "bands", "signature"])
+            lo = hi
+
+
+def _overlap(a, b) -> float:
+    """Weighted Jaccard similarity of two multisets (values, counts)."""
+    (va, ca), (vb, cb) = a, b
+    at = np.minimum(np.searchsorted(vb, va), max(0, len(vb) - 1))
+    same = vb[at] == va if len(vb) else np.zeros(len(va), bool)
+    both = np.minimum(ca[same], cb[at[same]]).sum()
+    return float(both / (ca.sum() + cb.sum() - both))
+
+
+def _verify(threshold: float):
+    def run(batches):
+        words, kept = Words(), {}
+
+        def of(node, text):
+            if node not in kept:
+                if len(kept) > 256:
+                    kept.clear()
+                kept[node] = multisets([text], words)[:2]
+            return kept[node]
+
+        for batch in batches:
+            a, b, ta, tb = (batch.column(i) for i in range(4))
+            sims = [_overlap(of(x, p), of(y, q)) for x, y, p, q in zip(a.to_pylist(), b.to_pylist(), ta.to_pylist(), tb.to_pylist(), strict=True)]
+            keep = pa.array([s >= threshold for s in sims])
+            yield pa.RecordBatch.from_arrays([a, b, pa.array(sims)], ["a", "b", "similarity"]).filter(keep)
+
+    return run
+
+
+def _links(pairs: DataFrame, nodes: DataFrame, base: DataFrame, threshold: float) -> DataFrame:
+    """Those pairs (a, b) of nodes whose texts reach the threshold. Texts are fetched once a node, by the document that stands for it."""
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = nodes.join(wanted, "node", "left_semi").select("node", "stand_in", F.col("tag").alias("of_tag"))
+    texts = base.join(wanted, base.doc_id.eqNullSafe(wanted.stand_in) & (base.tag == wanted.of_tag)).select("node", "text").dropDuplicates(["node"])
+    texts = materialize(texts, "texts")
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    out = materialize(rows.mapInArrow(_verify(threshold), "a binary, b binary, similarity double"), "links")
+    discard(texts)
+    return out
+
+
+def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+    """(node, component) of every node that has a link; a component is named by its least node.
+
+    Each round every node takes the least name among its own and its neighbours', then the name of that name (pointer jumping), until no name changes. Names are never collected.
+    """
+    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    both = materialize(both, "both")
+    names = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("component")).select(F.col("a").alias("node"), "component"), "names")
+    for _ in range(rounds):
+        near = both.join(names.select(F.col("node").alias("b"), "component"), "b").groupBy("a").agg(F.min("component").alias("near"))
+        step = names.join(near.withColumnRenamed("a", "node"), "node").select("node", F.col("component").alias("before"), F.least("component", "near").alias("component"))
+        of = names.select(F.col("node").alias("component"), F.col("component").alias("further"))
+        step = materialize(step.join(of, "component").select("node", "before", F.least("component", "further").alias("component")), "names")
+        changed = step.where("before <> component").limit(1).count()
+        discard(names)
+        names = materialize(step.select("node", "component"), "names") if changed else step.select("node", "component")
+        if not changed:
+            break
+    return names
+
+
+def _agreement(least: float):
+    def run(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, COMPONENTS) for i in (2, 3))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= least))
+
+    return run
+
+
+def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Those pairs (a, b) that their signatures do not rule out."""
+    sig = nodes.select("node", "signature")
+    pairs = pairs.join(sig.select(F.col("node").alias("a"), F.col("signature").alias("sa")), "a").join(sig.select(F.col("node").alias("b"), F.col("signature").alias("sb")), "b")
+    return materialize(pairs.select("a", "b", "sa", "sb").mapInArrow(_agreement(LEAST_AGREEMENT), "a binary, b binary"), "pairs")
+
+
+def _open_pairs(shared: DataFrame, names: DataFrame) -> DataFrame:
+    """Pairs that the centres left open: nodes of one bucket in different components, neither its centre.
+
+    Of a bucket's components the one with most nodes is held only against the rest, so a large group of near copies, which one centre has linked, meets only the few that it has not.
+    """
+    named = shared.join(names, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"), (F.col("node") == F.col("centre")).alias("is_centre"))
+    sizes = named.groupBy("band", "component").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("band").agg(F.max(F.struct("n", "component")).alias("largest"), F.count("*").alias("parts")).where("parts > 1").select("band", F.col("largest.component").alias("main"))
+    open_ = materialize(named.where("not is_centre").join(largest, "band").select("band", "node", "component", "main"), "open")
+    x = open_.where("component <> main").select("band", F.col("node").alias("a"), F.col("component").alias("ca"))
+    y = open_.select("band", F.col("node").alias("b"), F.col("component").alias("cb"), "main")
+    pairs = x.join(y, "band").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """One row per row of ``docs``: doc_id, class_id, class_size, kept, tag (a hash of the text).
+
+    ``class_id`` is the least doc_id of the class, and its row stays. A null text counts as empty, and texts without words form one class. A null id is larger than any other; only a class of null ids has a null class_id. Of rows that repeat an id and text exactly one is kept. An empty table gives an empty result.
+    """
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn("tag", F.xxhash64("text"))
+    rows = materialize(base.select("doc_id", "tag", "text").mapInArrow(_profile, PROFILE).withColumn("row", F.monotonically_increasing_id()), "profiles")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "tag"))
+    nodes = rows.groupBy("node").agg(best.alias("best"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
+    nodes = materialize(nodes.select("node", "best", "n", "bands", "signature", F.col("best.doc_id").alias("stand_in"), F.col("best.tag").alias("tag")), "nodes")
+
+    members = nodes.select("node", F.explode("bands").alias("band"))
+    centres = members.groupBy("band").agg(F.min("node").alias("centre"), F.count("*").alias("n")).where("n > 1").select("band", "centre")
+    shared = materialize(members.join(centres, "band").select("band", "node", "centre"), "shared")
+    stars = _plausible(shared.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), nodes)
+    links = _links(stars, nodes, base, threshold)
+    names = components(links)
+    rest = _plausible(_open_pairs(shared, names), nodes)
+    if not rest.isEmpty():
+        more = _links(rest, nodes, base, threshold)
+        names = components(links.unionByName(more))
+
+    named = nodes.join(names, "node", "left").select("node", "n", "best", F.coalesce("component", "node").alias("component"))
+    groups = named.groupBy("component").agg(F.min("best").alias("first"), F.sum("n").alias("class_size"))
+    of = named.join(groups, "component").select("node", "first", "class_size")
+    return rows.select("doc_id", "tag", "node", "row").join(of, "node").select("doc_id", F.col("first.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("first.row")).alias("kept"), "tag")
+
+
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents")).drop("tag")
+
+
+QUERIES = {"op2_near_dedup": op2_near_dedup}
+ORACLES: dict = {}

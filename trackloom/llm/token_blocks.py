@@ -136,60 +136,58 @@ class Encoder:
         for token, i in self.tokenizer.get_vocab().items():
             self.width[i] = len(token)
 
-    def _pieces(self, text: str) -> list[str]:
-        plain = not ("  " in text or " \n" in text or "\n " in text) and text.replace("\n", "").isprintable()
-        first, *rest = text.split(" ") if plain else self.SAFE.split(text)
-        return [first, *[" " + x for x in rest]]
-
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, missing: list[str]) -> None:
+        """Puts the pieces, each of which follows a single space, among the young ones."""
         known, old, joined, tails = self.young, self.old, [], []
         for p in missing:
-            if p in known:
-                continue
             if (found := old.get(p)) is not None:
                 known[p] = found
-            elif len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace():
+            elif p in known:
+                continue
+            elif p and not p[0].isspace() and not p[-1].isspace():
                 base = p.rstrip(".,")
-                if base == p or not base[-1:].isalpha():
-                    base = p
-                else:
+                if len(base) < len(p) and base[-1:].isalpha():
                     tails.append((p, base))
                     if base in known:
                         continue
                     if (found := old.get(base)) is not None:
                         known[base] = found
                         continue
+                else:
+                    base = p
                 known[base] = b""
                 joined.append(base)
             else:
-                known[p] = self._ids(p).tobytes()
+                known[p] = self._ids(" " + p).tobytes()
         for lo in range(0, len(joined), 4096):
             few = joined[lo : lo + 4096]
-            ids = self._ids("".join(few))
-            ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(p.encode()) for p in few])) + 1
+            text = " " + " ".join(few)
+            ids = self._ids(text)
+            ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(p.encode()) + 1 for p in few])) + 1
             raw, at = ids.tobytes(), 0
             for p, end in zip(few, (4 * ends).tolist(), strict=True):
                 known[p] = raw[at:end]
                 at = end
         for p, base in tails:
-            tail = p[len(base) :]
+            tail = "\0" + p[len(base) :]
             if tail not in known:
-                known[tail] = self._ids(tail).tobytes()
+                known[tail] = self._ids(tail[1:]).tobytes()
             known[p] = known[base] + known[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         out, get = [], self.young.get
         for text in texts:
-            pieces = self._pieces(text)
+            plain = not ("  " in text or " \n" in text or "\n " in text) and text.replace("\n", "").isprintable()
+            first, *pieces = text.split(" ") if plain else self.SAFE.split(text)
             ids = list(map(get, pieces))
             if None in ids:
                 self._learn([p for p, x in zip(pieces, ids, strict=True) if x is None])
-                ids = map(get, pieces)
-            out.append(b"".join(ids))
+                ids = list(map(get, pieces))
+            out.append(self._ids(first).tobytes() + b"".join(ids))
         if len(self.young) > CACHE_PIECES:
             self.young, self.old = {}, self.young
         return out

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, mixing, near_dedup, token_blocks
+from . import decontaminate, exact_dedup, mixing, near_dedup, quality, token_blocks, toxicity
 
-MODULES = (exact_dedup, near_dedup, token_blocks, decontaminate, mixing)
+MODULES = (exact_dedup, near_dedup, token_blocks, quality, toxicity, decontaminate, mixing)
 
 
 def queries() -> dict:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, mixing, near_dedup, quality, token_blocks, toxicity
+from . import decontaminate, exact_dedup, hmm_scoring, mixing, near_dedup, quality, token_blocks, toxicity
 
-MODULES = (exact_dedup, near_dedup, token_blocks, quality, toxicity, decontaminate, mixing)
+MODULES = (exact_dedup, near_dedup, token_blocks, quality, toxicity, hmm_scoring, decontaminate, mixing)
 
 
 def queries() -> dict:

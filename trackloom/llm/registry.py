@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, hmm_scoring, mixing, near_dedup, quality, token_blocks, toxicity, url_filter
+from . import decontaminate, exact_dedup, hmm_scoring, mixing, near_dedup, quality, secret_scan, token_blocks, toxicity, url_filter
 
-MODULES = (exact_dedup, near_dedup, token_blocks, quality, toxicity, hmm_scoring, url_filter, decontaminate, mixing)
+MODULES = (exact_dedup, near_dedup, token_blocks, quality, toxicity, hmm_scoring, url_filter, secret_scan, decontaminate, mixing)
 
 
 def queries() -> dict:

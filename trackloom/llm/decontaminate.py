@@ -157,6 +157,48 @@ def _scan(probes):
     return run
 
 
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, most: int) -> list[list[tuple[int, str]]]:
+    """The benchmark's items in blocks of at most ``most`` bytes of text (one at least)."""
+    blocks: list[list] = [[]]
+    size = 0
+    for item, text in benchmark.select(F.col(item_col).cast("long").alias("item_id"), text_or_empty(text_col).alias("text")).orderBy("item_id", "text").toLocalIterator():
+        if blocks[-1] and size + len(text) > most:
+            blocks.append([])
+            size = 0
+        blocks[-1].append((item, text))
+        size += len(text)
+    return blocks
+
+
+def _clean(probes, text: int):
+    """Passes on the rows whose text, in column number ``text``, meets no window."""
+
+    def run(batches):
+        for batch in batches:
+            texts, lo = batch.column(text).to_pylist(), 0
+            while lo < len(texts):
+                part, size = [], 0
+                while lo + len(part) < len(texts) and (not part or size < CHUNK):
+                    part.append(normalize(texts[lo + len(part)]))
+                    size += len(part[-1])
+                met = np.zeros(len(part), bool)
+                met[[d for d, _, _ in find_regions(part, probes.value)]] = True
+                yield batch.slice(lo, len(part)).filter(pa.array(~met))
+                lo += len(part)
+
+    return run
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that no benchmark window meets; documents are not shuffled."""
+    names = docs.columns
+    rows = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    for items in _blocks(benchmark, item_col, item_text_col, block_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast(Probes(items))
+        rows = rows.mapInArrow(_clean(shared, names.index(text_col)), rows.schema)
+    return rows.toDF(*names)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of ``docs``: doc_id, contaminated, n_windows (verified benchmark windows), item_ids (ascending), first_bytes (where each item's first region starts in the normalised text), and tag, a hash of the text.
 
@@ -164,18 +206,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn("tag", F.xxhash64("text"))
-    blocks: list[list] = [[]]
-    size, out = 0, None
+    blocks, out = _blocks(benchmark, item_col, item_text_col, block_bytes), None
 
     def scan(items):
         return base.select("doc_id", "text", "tag").mapInArrow(_scan(spark.sparkContext.broadcast(Probes(items))), f"doc_id long, tag long, {RESULT}")
 
-    for row in benchmark.select(F.col(item_col).cast("long").alias("item_id"), text_or_empty(item_text_col).alias("text")).orderBy("item_id", "text").toLocalIterator():
-        if blocks[-1] and size + len(row[1]) > block_bytes:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((row[0], row[1]))
-        size += len(row[1])
     if len(blocks) == 1:
         return scan(blocks[0])
     for number, items in enumerate(blocks):

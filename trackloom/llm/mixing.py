@@ -59,14 +59,14 @@ def _fold(level: int, seed: int):
         stay = F.when(first, x).otherwise(c)
         return F.struct(
             F.struct(stay["doc_id"].alias("doc_id"), stay["tag"].alias("tag"), stay["size"].alias("size"), stay["whole"].alias("whole"), left.alias("p")).alias("residual"),
-            F.concat(state["done"], F.array(F.struct(done["doc_id"].alias("doc_id"), done["size"].alias("size"), (done["whole"] + decided).alias("copies")))).alias("done"),
+            F.concat(state["done"], F.array(F.struct(done["doc_id"].alias("doc_id"), done["tag"].alias("tag"), done["size"].alias("size"), (done["whole"] + decided).alias("copies")))).alias("done"),
         )
 
     return meet
 
 
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block_rows: int = BLOCK_ROWS, seed: int = SEED) -> DataFrame:
-    """One row per row of ``docs``: doc_id, size, source, source_size, target, copies, taken (= size * copies).
+    """One row per row of ``docs``: doc_id, tag (a hash of the text), size, source, source_size, target, copies, taken (= size * copies).
 
     A null text has size 0; a null source is a source of its own, ordered last. A document of size 0 gets the whole part of its source's copies, which take no words. Rows that repeat are units of their own. An empty table gives an empty result. The same rows give the same copies, whatever their order or partitions.
     """
@@ -82,7 +82,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: floa
 
     joined = sized.alias("d").join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source"))).select("doc_id", "tag", "size", "d.source", "n", "whole", "p")
     fractional = (F.col("p") > 0) & (F.col("size") > 0)
-    plain = joined.where(~fractional).select("doc_id", "source", "size", F.col("whole").alias("copies"))
+    plain = joined.where(~fractional).select("doc_id", "tag", "source", "size", F.col("whole").alias("copies"))
     units = joined.where(fractional).select("source", F.struct("doc_id", "tag", F.col("size").cast("double").alias("size"), "whole", "p").alias("unit"), F.ceil(F.col("n") / block_rows).alias("blocks"))
 
     done, level, width = [plain], 0, max(1, most)
@@ -90,19 +90,34 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: floa
         width = math.ceil(width / block_rows)
         block = F.pmod(F.xxhash64(F.lit(seed + level), "unit.doc_id", "unit.tag"), F.col("blocks"))
         rows = units.groupBy("source", "blocks", block.alias("block")).agg(F.sort_array(F.collect_list("unit")).alias("units"))
-        start = F.struct(F.element_at("units", 1).alias("residual"), F.array().cast("array<struct<doc_id:bigint,size:double,copies:int>>").alias("done"))
+        start = F.struct(F.element_at("units", 1).alias("residual"), F.array().cast("array<struct<doc_id:bigint,tag:bigint,size:double,copies:int>>").alias("done"))
         folded = materialize(rows.select("source", "blocks", F.aggregate(F.slice("units", F.lit(2), F.size("units")), start, _fold(level, seed)).alias("state")), f"round{level}")
-        done.append(folded.select("source", F.explode("state.done").alias("u")).select("u.doc_id", "source", F.col("u.size").cast("long").alias("size"), F.col("u.copies").alias("copies")))
+        done.append(folded.select("source", F.explode("state.done").alias("u")).select("u.doc_id", "u.tag", "source", F.col("u.size").cast("long").alias("size"), F.col("u.copies").alias("copies")))
         units = folded.select("source", F.col("state.residual").alias("unit"), F.ceil(F.col("blocks") / block_rows).alias("blocks"))
         if width <= 1:
             break
         level += 1
     last = _uniform(F.lit(seed), F.lit("last"), "unit.doc_id", "unit.tag") < F.col("unit.p")
-    done.append(units.select("unit.doc_id", "source", F.col("unit.size").cast("long").alias("size"), (F.col("unit.whole") + last.cast("int")).alias("copies")))
+    done.append(units.select("unit.doc_id", "unit.tag", "source", F.col("unit.size").cast("long").alias("size"), (F.col("unit.whole") + last.cast("int")).alias("copies")))
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
-    return out.alias("o").join(targets.alias("t"), F.col("o.source").eqNullSafe(F.col("t.source"))).select("o.doc_id", "o.size", "o.source", "t.source_size", "t.target", "o.copies", (F.col("o.size") * F.col("o.copies")).alias("taken"))
+    return out.alias("o").join(targets.alias("t"), F.col("o.source").eqNullSafe(F.col("t.source"))).select("o.doc_id", "o.tag", "o.size", "o.source", "t.source_size", "t.target", "o.copies", (F.col("o.size") * F.col("o.copies")).alias("taken"))
+
+
+def take_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, each as often as the mix takes it.
+
+    Rows that repeat id, source and text share the copies of all of them, as evenly as whole copies allow.
+    """
+    key = lambda i, tag, source: F.xxhash64(i, tag, F.coalesce(source, F.lit("")), source.isNull())
+    mix = mix_sources(docs, weights, cap, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    mix = mix.groupBy(key(F.col("doc_id"), F.col("tag"), F.col("source")).alias("_mix_key")).agg(F.sum("copies").cast("int").alias("_mix_copies"), F.count("*").alias("_mix_rows"))
+    keyed = docs.withColumn("_mix_key", key(F.col(id_col).cast("long"), F.xxhash64(text_or_empty(text_col)), F.col(source_col).cast("string")))
+    joined = keyed.join(mix, "_mix_key")
+    rank = F.row_number().over(Window.partitionBy("_mix_key").orderBy(F.lit(1)))
+    copies = F.floor(F.col("_mix_copies") / F.col("_mix_rows")) + (rank <= F.col("_mix_copies") % F.col("_mix_rows")).cast("int")
+    return joined.withColumn("_mix_n", copies.cast("int")).where("_mix_n > 0").withColumn("_mix_n", F.explode(F.sequence(F.lit(1), F.col("_mix_n")))).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -283,6 +283,12 @@ def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     return rows.select("doc_id", "tag", "node", "row").join(of, "node").select("doc_id", F.col("first.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("first.row")).alias("kept"), "tag")
 
 
+def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay: of each class the document with the least id. Rows that repeat that id and text stay together."""
+    kept = near_dedup(docs, id_col=id_col, text_col=text_col, threshold=threshold).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("tag").alias("_kept_tag"))
+    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_kept_id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("_kept_tag")), "left_semi")
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents")).drop("tag")
 

@@ -13,8 +13,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import bucket_of, materialize, table, text_or_empty
+from .common import bucket_of, table, text_or_empty
 
 WORDS = 1 << 14
 SHAPES = 1 << 10
@@ -28,6 +29,7 @@ HIDDEN = 32
 CHUNK_CHARS = 1 << 20
 ROWS = 128  # units a message carries when tables are added
 FEATURES = 2 * DIMS + 3
+SCORE = "_quality_score"
 PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -116,26 +118,13 @@ def unit_vectors(texts: DataFrame) -> np.ndarray:
     return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
-def _pool(vectors):
+def _features(vectors):
     def run(batches):
-        units, v = Units(), vectors.value
+        units = Units()
         for batch in batches:
-            for lo, texts in _chunks(batch, 1):
-                words, shapes, n = _tokens(texts, units)
-                some = np.flatnonzero(n)
-                out = np.zeros((len(n), FEATURES), np.float32)
-                if len(some):
-                    starts = (np.cumsum(n) - n)[some]
-                    repeat = np.zeros(len(words), np.float32)
-                    repeat[1:] = (words[1:] == words[:-1]) & (shapes[1:] == shapes[:-1])
-                    repeat[starts] = 0
-                    per = n[some, None]
-                    out[some, :DIMS] = np.add.reduceat(v[words], starts) / per
-                    out[some, DIMS : 2 * DIMS] = np.add.reduceat(v[shapes], starts) / per
-                    out[some, -3:-2] = np.add.reduceat(repeat, starts)[:, None] / per
-                    out[some, -2] = np.log1p(n[some]) / 10
-                out[:, -1] = n == 0
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(texts)), pa.array([r.tobytes() for r in out], pa.binary())], ["doc_id", "features"])
+            for lo, texts in _chunks(batch, 2):
+                out = _pooled(texts, units, vectors.value)
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, len(texts)).columns[:2], pa.array([r.tobytes() for r in out], pa.binary())], ["doc_id", "label", "features"])
 
     return run
 
@@ -189,11 +178,12 @@ class Network:
         return self
 
 
-def fit_quality(features: DataFrame, labels: DataFrame, *, label_col: str = "quality", sample: int = SAMPLE, folds: int = FOLDS, fold: int = 0) -> Network:
+def fit_quality(texts: DataFrame, labels: DataFrame, vectors: np.ndarray, *, label_col: str = "quality", sample: int = SAMPLE, folds: int = FOLDS, fold: int = 0) -> Network:
     """The network, from at most ``sample`` labelled rows outside the held-out fold; rows with a null label do not count."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where((F.col("label").isNotNull()) & F.col("doc_id").isNotNull() & (bucket_of("doc_id", folds) != fold))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
-    rows = features.join(F.broadcast(known), "doc_id").select("doc_id", "features", "label").collect()
+    shared = texts.sparkSession.sparkContext.broadcast(vectors)
+    rows = texts.join(F.broadcast(known), "doc_id").select("doc_id", "label", "text").mapInArrow(_features(shared), "doc_id long, label int, features binary").select("doc_id", "features", "label").collect()
     rows.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), r[2], bytes(r[1])))
     x = np.array([np.frombuffer(r[1], np.float32) for r in rows]).reshape(len(rows), FEATURES)
     y = np.array([float(r[2] > 0) for r in rows])
@@ -201,27 +191,67 @@ def fit_quality(features: DataFrame, labels: DataFrame, *, label_col: str = "qua
     return Network().fit(x[~aside], y[~aside]).calibrate(x[aside], y[aside])
 
 
-def _score(network):
+def _pooled(texts: list[str], units: Units, v: np.ndarray) -> np.ndarray:
+    """Features (texts x FEATURES) of whole texts."""
+    words, shapes, n = _tokens(texts, units)
+    some = np.flatnonzero(n)
+    out = np.zeros((len(n), FEATURES), np.float32)
+    if len(some):
+        starts = (np.cumsum(n) - n)[some]
+        repeat = np.zeros(len(words), np.float32)
+        repeat[1:] = (words[1:] == words[:-1]) & (shapes[1:] == shapes[:-1])
+        repeat[starts] = 0
+        per = n[some, None]
+        out[some, :DIMS] = np.add.reduceat(v[words], starts) / per
+        out[some, DIMS : 2 * DIMS] = np.add.reduceat(v[shapes], starts) / per
+        out[some, -3:-2] = np.add.reduceat(repeat, starts)[:, None] / per
+        out[some, -2] = np.log1p(n[some]) / 10
+    out[:, -1] = n == 0
+    return out
+
+
+def _score(shared, text: int):
+    """Adds the score to rows whose column number ``text`` is the text."""
+
     def run(batches):
-        net = network.value
+        units, (v, net) = Units(), shared.value
         for batch in batches:
-            x = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float32).reshape(-1, FEATURES)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(net.probability(x), pa.float64())], ["doc_id", "score"])
+            for lo, texts in _chunks(batch, text):
+                part = batch.slice(lo, len(texts))
+                score = pa.array(net.probability(_pooled(texts, units, v)), pa.float64())
+                yield pa.RecordBatch.from_arrays([*part.columns, score], names=[*(f"c{i}" for i in range(part.num_columns)), SCORE])
 
     return run
 
 
+def _scored(docs: DataFrame, vectors: np.ndarray, network: Network, text_col: str) -> DataFrame:
+    """All columns of ``docs`` and the column SCORE."""
+    shared, names = docs.sparkSession.sparkContext.broadcast((vectors, network)), docs.columns
+    inner = docs.toDF(*(f"c{i}" for i in range(len(names)))).withColumn(f"c{len(names)}", text_or_empty(f"c{names.index(text_col)}"))
+    out = inner.mapInArrow(_score(shared, len(names)), T.StructType([*inner.schema.fields, T.StructField(SCORE, T.DoubleType())]))
+    return out.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)), SCORE)
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, text_col: str, id_col: str, **options) -> tuple[np.ndarray, Network]:
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    vectors = unit_vectors(base.select("text"))
+    return vectors, fit_quality(base, labels, vectors, **options)
+
+
+def quality_filter(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score reaches ``threshold``; documents are not shuffled."""
+    vectors, network = _fitted(docs, labels, text_col, id_col, **options)
+    return _scored(docs, vectors, network, text_col).where(F.col(SCORE) >= threshold).drop(SCORE)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, folds: int = FOLDS, fold: int = 0, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score (the probability of label 1), predicted.
 
     A null text counts as empty; texts without words share one score. Labels of the fold crc32(doc_id as text) mod ``folds`` = ``fold`` are never learned from; a null id is treated as the empty text there. Without labels every score is 0.5, with one label only they are that label's smoothed share. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    vectors = spark.sparkContext.broadcast(unit_vectors(base.select("text")))
-    features = materialize(base.mapInArrow(_pool(vectors), "doc_id long, features binary"), "features")
-    network = spark.sparkContext.broadcast(fit_quality(features, labels, sample=sample, folds=folds, fold=fold))
-    scored = features.mapInArrow(_score(network), "doc_id long, score double")
+    vectors, network = _fitted(base, labels, "text", "doc_id", sample=sample, folds=folds, fold=fold)
+    scored = _scored(base, vectors, network, "text").select("doc_id", F.col(SCORE).alias("score"))
     return scored.select("doc_id", (bucket_of("doc_id", folds) == fold).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 

@@ -15,7 +15,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import bucket_of, materialize, table, text_or_empty
@@ -273,6 +273,18 @@ def count_words(texts: DataFrame) -> DataFrame:
     return materialize(parts.groupBy("word", "tail").agg(F.sum("n").alias("c")), "vocabulary")
 
 
+def _head(words: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """The end token, if it occurs, and the words whose count is so high that at most ``most`` words reach it.
+
+    The least such count comes from a histogram of counts, so only the chosen words reach the driver.
+    """
+    is_end = F.length("word") == 0
+    above = F.sum("words").over(Window.orderBy(F.desc("c")))
+    least = words.where(~is_end).groupBy("c").agg(F.count("*").alias("words")).withColumn("above", above).where(F.col("above") <= most).agg(F.min("c")).first()[0]
+    chosen = words.where(is_end | (F.col("c") >= F.lit(least))) if least is not None else words.where(is_end)
+    return sorted(((bytes(w), c) for w, c in chosen.select("word", "c").collect()), key=lambda x: (x[0] != END, -x[1], x[0]))
+
+
 def fit(encoded: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> Model:
     """Baum-Welch over the symbol sequences in ``encoded``."""
     spark, model = encoded.sparkSession, Model.first(v)
@@ -299,8 +311,7 @@ def hmm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     train = bucket_of("doc_id", folds) != fold
     words = count_words(base.where(train).select("text"))
     total, distinct = (x or 0 for x in words.agg(F.sum("c"), F.count("*")).first())
-    is_end = F.length("word") == 0
-    top = [(bytes(w), c) for w, c in words.where(is_end).select("word", "c").collect() + words.where(~is_end).orderBy(F.desc("c"), "word").select("word", "c").limit(head).collect()]
+    top = _head(words, head)
     heads = spark.createDataFrame([(w,) for w, _ in top], "word binary")
     rest = words.join(F.broadcast(heads), "word", "left_anti")
     tail = {i: (n, k) for i, n, k in rest.groupBy("tail").agg(F.sum("c"), F.count("*")).collect()}

@@ -4,7 +4,9 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
+from trackloom.llm import near_dedup as N
 from trackloom.llm.near_dedup import Words, multisets, near_dedup, signatures
 
 
@@ -33,7 +35,10 @@ def test_signatures_are_unbiased():
     assert abs((s[0] == s[1]).mean() - 0.5) < 0.04
 
 
-def test_classes(spark):
+@pytest.mark.parametrize("limits", [{}, {"SMALL": 2, "BLOCK_NODES": 4}])
+def test_classes(spark, limits, monkeypatch):
+    for k, v in limits.items():
+        monkeypatch.setattr(N, k, v)
     r = random.Random(9)
     word = lambda: f"w{r.randrange(4000)}"
     texts = []
@@ -41,7 +46,7 @@ def test_classes(spark):
         seed = [word() for _ in range(r.choice([4, 30, 150, 400]))]
         for _ in range(r.randint(1, 12)):
             copy = list(seed)
-            for _ in range(r.randint(0, max(1, len(seed) // 60))):
+            for _ in range(r.randint(0, max(1, len(seed) // 50))):
                 copy[r.randrange(len(copy))] = word()
             texts.append(" ".join(copy))
     texts += ["", None, "  \n", "One two", "one  TWO", "spam " * 4000, "spam " * 3900, "spam " * 2000, "x" * 200000]
@@ -73,3 +78,14 @@ def test_classes(spark):
     assert Counter((g.doc_id, g.class_id, g.class_size) for g in got) == want
     assert sum(g.kept for g in got) == len(groups) and all(g.doc_id == g.class_id for g in got if g.kept)
     assert near_dedup(df.limit(0)).count() == 0
+
+
+def test_similarity_matrix():
+    r = random.Random(3)
+    texts = [" ".join(r.choice("ab") for _ in range(r.randint(0, 40))) for _ in range(12)]
+    v, c, cuts = multisets(texts, Words())
+    got = N._similarities(v, c, cuts, np.arange(12), np.arange(12))
+    for i in range(12):
+        for j in range(12):
+            if i != j and texts[i] and texts[j]:  # a text is never compared with itself
+                assert abs(got[i, j] - similarity(shingles(texts[i]), shingles(texts[j]))) < 1e-6

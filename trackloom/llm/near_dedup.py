@@ -2,7 +2,7 @@
 
 A document is the multiset of its ``SHINGLE``-word shingles (lower-cased, words between white space; a shorter text is one shingle of all its words). Per shingle of weight w, independent Poisson processes run on the dyadic weight intervals (0, 1], (1, 2], (2, 4], ... up to w; their points fall on a component, a weight and a time at random, and points above w are thinned out. A component keeps its first point. Two documents share it with a probability of their weighted Jaccard similarity, so the signature is unbiased, and a shingle costs one hash unless its first arrival comes early enough to matter.
 
-Documents with the same multiset are one node. Nodes that agree in a band of ``ROWS`` components share a bucket. No bucket is expanded into pairs: each of its nodes is verified against one centre, links are closed to components, and only nodes of a bucket that are then still in different components meet again (see ``_open_pairs``). A pair is linked when the overlap of the two multisets is at least ``THRESHOLD`` of their union; signatures only choose what is verified.
+Documents with the same multiset are one node. Nodes that agree in a band of ``ROWS`` components share a bucket. No bucket is expanded into pairs: each of its nodes is verified against one centre, links are closed to components, and only nodes of a bucket that are then still in different components meet again: by pairs in buckets of at most ``SMALL`` nodes, else by blocks of a group (see ``_large_groups``), where a task compares two blocks exactly and returns at most a spanning set of links. A pair is linked when the overlap of the two multisets is at least ``THRESHOLD`` of their union; signatures only choose what is verified.
 """
 
 from __future__ import annotations
@@ -23,6 +23,10 @@ BATCH_WORDS = 1 << 19
 CACHE_WORDS = 1 << 19
 #: Least agreement of two signatures for a pair to be verified: over six standard deviations below a similarity of 0.8.
 LEAST_AGREEMENT = 0.5
+#: Buckets of more nodes than this are compared by blocks instead of pairs.
+SMALL = 32
+BLOCK_NODES = 512
+BLOCK_SHINGLES = 1 << 20
 _P, _A, _B = np.uint64(0x9FB21C651E98DF25), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -131,7 +135,7 @@ def signatures(values: np.ndarray, counts: np.ndarray, cuts: np.ndarray, m: int
     return out
 
 
-PROFILE = "doc_id long, tag long, node binary, bands array<long>, signature binary"
+PROFILE = "doc_id long, tag long, node binary, bands array<long>, signature binary, shingles long"
 
 
 def _profile(batches):
@@ -156,7 +160,7 @@ def _profile(batches):
             some = np.diff(cuts) > 0
             listed = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(some * BANDS))).astype(np.int32)), pa.array(mixed[some].ravel().view(np.int64)))
             low = np.ascontiguousarray((sig & np.uint64(0xFF)).astype(np.uint8))
-            yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), tags.slice(lo, hi - lo), pa.array(nodes, pa.binary()), listed, pa.array([x.tobytes() for x in low], pa.binary())], ["doc_id", "tag", "node", "bands", "signature"])
+            yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), tags.slice(lo, hi - lo), pa.array(nodes, pa.binary()), listed, pa.array([x.tobytes() for x in low], pa.binary()), pa.array(np.diff(np.concatenate(([0], np.cumsum(counts)))[cuts]))], ["doc_id", "tag", "node", "bands", "signature", "shingles"])
             lo = hi
 
 
@@ -189,16 +193,19 @@ def _verify(threshold: float):
     return run
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, base: DataFrame, threshold: float) -> DataFrame:
-    """Those pairs (a, b) of nodes whose texts reach the threshold. Texts are fetched once a node, by the document that stands for it."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _texts(wanted: DataFrame, nodes: DataFrame, base: DataFrame) -> DataFrame:
+    """(node, text) of the wanted nodes, fetched once a node by the document that stands for it."""
     wanted = nodes.join(wanted, "node", "left_semi").select("node", "stand_in", F.col("tag").alias("of_tag"))
-    texts = base.join(wanted, base.doc_id.eqNullSafe(wanted.stand_in) & (base.tag == wanted.of_tag)).select("node", "text").dropDuplicates(["node"])
-    texts = materialize(texts, "texts")
+    return materialize(base.join(wanted, base.doc_id.eqNullSafe(wanted.stand_in) & (base.tag == wanted.of_tag)).select("node", "text").dropDuplicates(["node"]), "texts")
+
+
+def _links(pairs: DataFrame, nodes: DataFrame, base: DataFrame, threshold: float) -> DataFrame:
+    """Those pairs (a, b) of nodes whose texts reach the threshold."""
+    texts = _texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), nodes, base)
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    out = materialize(rows.mapInArrow(_verify(threshold), "a binary, b binary, similarity double"), "links")
+    out = materialize(rows.mapInArrow(_verify(threshold), "a binary, b binary, similarity double").select("a", "b"), "links")
     discard(texts)
     return out
 
@@ -240,19 +247,89 @@ def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return materialize(pairs.select("a", "b", "sa", "sb").mapInArrow(_agreement(LEAST_AGREEMENT), "a binary, b binary"), "pairs")
 
 
-def _open_pairs(shared: DataFrame, names: DataFrame) -> DataFrame:
-    """Pairs that the centres left open: nodes of one bucket in different components, neither its centre.
+def _open_pairs(small: DataFrame, names: DataFrame) -> DataFrame:
+    """Pairs that the centres left open in buckets of at most ``SMALL`` nodes: nodes in different components, neither the centre."""
+    named = small.join(names, "node", "left").where("node <> centre").select("band", "node", F.coalesce("component", "node").alias("component"))
+    parts = named.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("band")
+    open_ = materialize(named.join(parts, "band", "left_semi"), "open")
+    x = open_.select("band", F.col("node").alias("a"), F.col("component").alias("ca"))
+    y = open_.select("band", F.col("node").alias("b"), F.col("component").alias("cb"))
+    return x.join(y, "band").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b"))).select("a", "b").distinct()
+
+
+def _similarities(values: np.ndarray, counts: np.ndarray, cuts: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Weighted Jaccard similarities of all left with all right texts. A shingle of count c is c elements of its own, so overlaps are products of 0/1 matrices, made for some thousand elements at a time."""
+    text = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+    level = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    element, text = _mix(np.repeat(values, counts) + level.astype(np.uint64) * _A), np.repeat(text, counts)
+    total = np.bincount(text, minlength=len(cuts) - 1)
+    _, column, times = np.unique(element, return_inverse=True, return_counts=True)
+    number = np.cumsum(times > 1) - 1  # elements of one text only meet nothing
+    keep = times[column] > 1
+    column, text = number[column[keep]], text[keep]
+    order = np.argsort(column, kind="stable")
+    column, text = column[order], text[order]
+    both = np.zeros((len(left), len(right)), np.float32)
+    last = int(column[-1]) + 1 if len(column) else 0
+    for lo in range(0, last, 4096):
+        at = slice(*np.searchsorted(column, (lo, lo + 4096)))
+        x = np.zeros((len(cuts) - 1, min(4096, last - lo)), np.float32)
+        x[text[at], column[at] - lo] = 1
+        both += x[left] @ x[right].T
+    return both / np.maximum(total[left][:, None] + total[right][None, :] - both, 1)
+
+
+def _compare(threshold: float):
+    """Links between components inside a pair of blocks of a large group, at most one fewer than the components it holds."""
+
+    def run(key, rows):
+        i, j = key[1].as_py(), key[2].as_py()
+        rows = rows.sort_by("node")
+        nodes, names, block = (rows.column(c).to_pylist() for c in ("node", "component", "block"))
+        values, counts, cuts = multisets(rows.column("text").to_pylist(), Words())
+        block = np.array(block)
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        _, code = np.unique(np.array(names, dtype=object), return_inverse=True)
+        near = (_similarities(values, counts, cuts, left, right) >= threshold - 1e-6) & (code[left][:, None] != code[right][None, :])
+        x, y = np.nonzero(near)
+        _, first = np.unique(np.stack((code[left[x]], code[right[y]])), axis=1, return_index=True) if len(x) else (None, np.empty(0, int))
+        parent, links = list(range(len(nodes))), []
+
+        def find(n):
+            while parent[n] != n:
+                parent[n] = n = parent[parent[n]]
+            return n
+
+        for k in first:
+            a, b = int(left[x[k]]), int(right[y[k]])
+            if _overlap(*((values[cuts[n] : cuts[n + 1]], counts[cuts[n] : cuts[n + 1]]) for n in (a, b))) < threshold:
+                continue
+            p, q = find(int(code[a])), find(int(code[b]))
+            if p != q:
+                parent[p] = q
+                links.append((nodes[a], nodes[b]))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.binary()), "b": pa.array([b for _, b in links], pa.binary())})
+
+    return run
+
+
+def _large_groups(large: DataFrame, names: DataFrame, nodes: DataFrame, base: DataFrame, threshold: float) -> DataFrame | None:
+    """Links that the centres left open in buckets of more than ``SMALL`` nodes.
 
-    Of a bucket's components the one with most nodes is held only against the rest, so a large group of near copies, which one centre has linked, meets only the few that it has not.
+    Nodes that share such buckets, directly or through others, form a group. Where a group holds several components, its nodes are dealt into blocks of about ``BLOCK_NODES`` (or ``BLOCK_SHINGLES``), and every two blocks meet in one task of bounded size, which compares all their texts exactly and returns only links between components. Nothing is sent once a pair; a node is sent once for every block of its group.
     """
-    named = shared.join(names, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"), (F.col("node") == F.col("centre")).alias("is_centre"))
-    sizes = named.groupBy("band", "component").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("band").agg(F.max(F.struct("n", "component")).alias("largest"), F.count("*").alias("parts")).where("parts > 1").select("band", F.col("largest.component").alias("main"))
-    open_ = materialize(named.where("not is_centre").join(largest, "band").select("band", "node", "component", "main"), "open")
-    x = open_.where("component <> main").select("band", F.col("node").alias("a"), F.col("component").alias("ca"))
-    y = open_.select("band", F.col("node").alias("b"), F.col("component").alias("cb"), "main")
-    pairs = x.join(y, "band").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    groups = components(large.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()).select("node", F.col("component").alias("group"))
+    rows = groups.join(names, "node", "left").join(nodes.select("node", "shingles"), "node").select("group", "node", F.coalesce("component", "node").alias("component"), "shingles")
+    rows = materialize(rows, "groups")
+    sizes = rows.groupBy("group").agg(F.count("*").alias("n"), F.sum("shingles").alias("total"), F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most")
+    sizes = sizes.select("group", F.ceil(F.greatest(F.col("n") / BLOCK_NODES, F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    rows = materialize(rows.join(sizes, "group").select("group", "node", "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")), "blocks")
+    if rows.isEmpty():
+        return None
+    texts = _texts(rows.select("node"), nodes, base)
+    sent = rows.join(texts, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sent = sent.select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "component", "block", "text")
+    return materialize(sent.groupBy("group", "i", "j").applyInArrow(_compare(threshold), "a binary, b binary"), "links")
 
 
 def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -263,19 +340,22 @@ def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn("tag", F.xxhash64("text"))
     rows = materialize(base.select("doc_id", "tag", "text").mapInArrow(_profile, PROFILE).withColumn("row", F.monotonically_increasing_id()), "profiles")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "tag"))
-    nodes = rows.groupBy("node").agg(best.alias("best"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
-    nodes = materialize(nodes.select("node", "best", "n", "bands", "signature", F.col("best.doc_id").alias("stand_in"), F.col("best.tag").alias("tag")), "nodes")
+    nodes = rows.groupBy("node").agg(best.alias("best"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("signature").alias("signature"), F.first("shingles").alias("shingles"))
+    nodes = materialize(nodes.select("node", "best", "n", "bands", "signature", "shingles", F.col("best.doc_id").alias("stand_in"), F.col("best.tag").alias("tag")), "nodes")
 
     members = nodes.select("node", F.explode("bands").alias("band"))
-    centres = members.groupBy("band").agg(F.min("node").alias("centre"), F.count("*").alias("n")).where("n > 1").select("band", "centre")
-    shared = materialize(members.join(centres, "band").select("band", "node", "centre"), "shared")
+    centres = members.groupBy("band").agg(F.min("node").alias("centre"), F.count("*").alias("size")).where("size > 1")
+    shared = materialize(members.join(centres, "band").select("band", "node", "centre", "size"), "shared")
     stars = _plausible(shared.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), nodes)
     links = _links(stars, nodes, base, threshold)
     names = components(links)
-    rest = _plausible(_open_pairs(shared, names), nodes)
+    large = _large_groups(shared.where(F.col("size") > SMALL), names, nodes, base, threshold)
+    if large is not None:
+        links = links.unionByName(large)
+        names = components(links)
+    rest = _plausible(_open_pairs(shared.where(F.col("size") <= SMALL), names), nodes)
     if not rest.isEmpty():
-        more = _links(rest, nodes, base, threshold)
-        names = components(links.unionByName(more))
+        names = components(links.unionByName(_links(rest, nodes, base, threshold)))
 
     named = nodes.join(names, "node", "left").select("node", "n", "best", F.coalesce("component", "node").alias("component"))
     groups = named.groupBy("component").agg(F.min("best").alias("first"), F.sum("n").alias("class_size"))

@@ -2,5 +2,406 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import text as X
+from ..functions.vectors import points
+from ..operators import asof, boxes, captions, clips, curation, frames, gaps, hands, landmarks, merge, motion, rate, stats
+from .fixtures import DETECTIONS_SQL, MEDIA_SQL, cues, cyclic_points, detections, frames_with_body, media, table
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+TRACK = ("video", "person_id")
+GAP_US = 21_600_000_000
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+CLIPS_SQL = f"""WITH {DETECTIONS_SQL},
+marked AS (
+  SELECT *, CASE WHEN lag(us) OVER t IS NULL OR NOT (lag(us) OVER t + {GAP_US} > us) THEN 1 ELSE 0 END AS starts
+  FROM detections WINDOW t AS (PARTITION BY video, person_id ORDER BY us, event_id)),
+clips AS (
+  SELECT *, CAST(sum(starts) OVER (PARTITION BY video, person_id ORDER BY us, event_id ROWS UNBOUNDED PRECEDING) - 1 AS INTEGER) AS clip_index
+  FROM marked)
+"""
+
+
+def _clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clips.sessionize(detections(spark, sf_dir), GAP_US, TRACK, "us", ("event_id",))
+
+
+@query(CLIPS_SQL + "SELECT event_id, video, person_id, clip_index FROM clips")
+def q01_clip_sessionize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clips(spark, sf_dir).select("event_id", "video", "person_id", "clip_index")
+
+
+@query(CLIPS_SQL + 'SELECT video, person_id, clip_index, min(us) AS start, max(us) AS "end", max(x2 - x1) AS max_w, max(y2 - y1) AS max_h, count(*) AS n_boxes FROM clips GROUP BY ALL')
+def q02_clip_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clips.summarize(_clips(spark, sf_dir), TRACK, "us")
+
+
+SIDES_SQL = f"""WITH {DETECTIONS_SQL},
+frames AS (SELECT event_id, video, person_id, us FROM detections WHERE event_id % 3 = 0),
+boxes AS (SELECT video, person_id, us, max(event_id) AS box FROM detections WHERE event_id % 3 <> 0 GROUP BY ALL)
+"""
+
+
+def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rows = detections(spark, sf_dir).select("event_id", *TRACK, "us")
+    return rows.where("event_id % 3 = 0"), rows.where("event_id % 3 <> 0").groupBy(*TRACK, "us").agg(F.max("event_id").alias("box"))
+
+
+@query(
+    SIDES_SQL
+    + """, hit AS (SELECT f.*, b.box FROM frames f ASOF LEFT JOIN boxes b ON f.video = b.video AND f.person_id = b.person_id AND f.us > b.us),
+one AS (SELECT video, person_id, arg_min(box, us) AS box FROM boxes GROUP BY ALL)
+SELECT h.event_id, h.video, h.person_id, h.us, coalesce(h.box, o.box) AS box FROM hit h LEFT JOIN one o USING (video, person_id)"""
+)
+def q03_asof_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return asof.backward(*_sides(spark, sf_dir), TRACK, ["box"], "us", bucket=86_400_000_000.0 * 7)
+
+
+@query(SIDES_SQL + "SELECT f.*, b.box FROM frames f ASOF LEFT JOIN boxes b ON f.video = b.video AND f.person_id = b.person_id AND f.us >= b.us")
+def q04_asof_inclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return asof.backward(*_sides(spark, sf_dir), TRACK, ["box"], "us", strict=False, first_if_none=False)
+
+
+@query(SIDES_SQL + "SELECT f.event_id, f.video, f.person_id, f.us, arg_min(b.box, (abs(b.us - f.us), b.us)) AS box FROM frames f LEFT JOIN boxes b USING (video, person_id) GROUP BY ALL")
+def q05_asof_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return asof.nearest(*_sides(spark, sf_dir), TRACK, ["box"], "us")
+
+
+GRID_SQL = f"""WITH {MEDIA_SQL},
+bounds AS (SELECT *, greatest(1, CAST(round_even(CAST(fps / 6 AS DOUBLE), 0) AS BIGINT)) AS skip FROM media),
+grid AS (SELECT source, video, fps, unnest(range(CAST(ceil(CAST(trunc(start * fps) AS BIGINT) / skip) AS BIGINT) * skip, CAST(trunc("end" * fps) AS BIGINT), skip)) AS frame_no FROM bounds)
+"""
+
+
+@query(GRID_SQL + "SELECT source, video, frame_no, frame_no / fps AS ts FROM grid")
+def q06_frame_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frames.frame_grid(media(spark, sf_dir), 6.0).select("source", "video", "frame_no", "ts")
+
+
+@query(
+    CLIPS_SQL
+    + """, spans AS (SELECT video, person_id, clip_index, min(us) AS start, max(us) AS "end" FROM clips GROUP BY ALL)
+SELECT d.event_id, s.video, s.person_id, s.clip_index FROM detections d JOIN spans s ON d.video = s.video AND d.person_id = s.person_id AND d.us + 3600000000 BETWEEN s.start AND s."end" """
+)
+def q07_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = clips.summarize(_clips(spark, sf_dir), TRACK, "us").select(*TRACK, "clip_index", "start", "end")
+    moved = detections(spark, sf_dir).select("event_id", *TRACK, (F.col("us") + 3_600_000_000).alias("at"))
+    return frames.in_interval(moved, spans, TRACK, "at", "start", "end", 4.0 * GAP_US).select("event_id", *TRACK, "clip_index")
+
+
+MOTION_SQL = """WITH bodies AS (
+  SELECT label AS clip, vec_id AS ts, [[CAST(embedding[3 * p + c + 1] AS DOUBLE) FOR c IN range(3)] FOR p IN range(5, 17)] AS pts FROM embeddings),
+features AS (
+  SELECT clip, ts, flatten([[x / CASE WHEN sqrt(p[1] * p[1] + p[2] * p[2] + p[3] * p[3]) = 0 THEN 1.0::DOUBLE ELSE sqrt(p[1] * p[1] + p[2] * p[2] + p[3] * p[3]) END FOR x IN p] FOR p IN pts]) AS f FROM bodies),
+pairs AS (SELECT clip, ts, f, row_number() OVER w - 1 AS i, lag(f) OVER w AS g FROM features WINDOW w AS (PARTITION BY clip ORDER BY ts)),
+changes AS (SELECT clip, ts, i, sqrt(list_sum([(f[k] - g[k]) * (f[k] - g[k]) FOR k IN range(1, 37)])) AS change FROM pairs)
+"""
+
+
+@query(MOTION_SQL + "SELECT clip, ts, i, round(CASE WHEN i > 0 THEN change END, 5) AS change FROM changes")
+def q08_motion_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return motion.frame_changes(frames_with_body(spark, sf_dir), ["clip"]).select("clip", "ts", "i", F.round("change", 5).alias("change"))
+
+
+@query(
+    MOTION_SQL
+    + """, per AS (SELECT clip, count(*) AS n, greatest(0, coalesce(max(change) FILTER (i BETWEEN 1 AND 36), 0)) AS most FROM changes GROUP BY clip)
+SELECT clip, n, round(most, 5) AS max_change, n >= 37 AND most < 5.65 AS still, NOT (n >= 37 AND most < 5.65) AND n >= 6 AS keep FROM per"""
+)
+def q09_motion_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = motion.verdicts(motion.frame_changes(frames_with_body(spark, sf_dir), ["clip"]), ["clip"], 6.0, 36, 5.65)
+    return out.withColumn("max_change", F.round("max_change", 5))
+
+
+@query(
+    """WITH numbers AS (SELECT DISTINCT event_type AS video, event_id AS frame FROM events WHERE event_id % 5 < 3 OR event_id % 7 = 0),
+runs AS (SELECT *, frame - row_number() OVER (PARTITION BY video ORDER BY frame) AS run FROM numbers)
+SELECT video, min(frame) AS start, max(frame) AS "end" FROM runs GROUP BY video, run"""
+)
+def q10_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    missing = detections(spark, sf_dir).where("event_id % 5 < 3 or event_id % 7 = 0").select("video", F.col("event_id").alias("frame"))
+    return gaps.islands(missing, ["video"])
+
+
+@query(
+    """WITH rows_ AS (SELECT label AS clip, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS i, vec_id, CAST(embedding[1] AS DOUBLE) AS v FROM embeddings),
+holes AS (SELECT clip, i, CASE WHEN vec_id % 7 IN (1, 2) OR vec_id % 11 < 4 THEN NULL ELSE v END AS value FROM rows_),
+sides AS (
+  SELECT *, last_value(CASE WHEN value IS NULL THEN NULL ELSE i END IGNORE NULLS) OVER l AS li, last_value(value IGNORE NULLS) OVER l AS lv,
+         first_value(CASE WHEN value IS NULL THEN NULL ELSE i END IGNORE NULLS) OVER r AS ri, first_value(value IGNORE NULLS) OVER r AS rv
+  FROM holes WINDOW l AS (PARTITION BY clip ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), r AS (PARTITION BY clip ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
+SELECT clip, i, coalesce(value, CASE WHEN ri - li - 1 <= 2 THEN lv + (rv - lv) / (ri - li - 1) * (i - li) END) AS value,
+       coalesce(value IS NULL AND ri - li - 1 <= 2, false) AS filled FROM sides"""
+)
+def q11_interpolate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(F.col("label").alias("clip"), (F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1).cast("bigint").alias("i"), "vec_id", F.element_at("embedding", 1).cast("double").alias("v"))
+    holes = rows.select("clip", "i", F.when(~(F.col("vec_id") % 7).isin(1, 2) & (F.col("vec_id") % 11 >= 4), F.col("v")).alias("value"))
+    return gaps.interpolate(holes, ["clip"], "i", "value", 2).select("clip", "i", "value", "filled")
+
+
+@query(
+    f"""WITH {DETECTIONS_SQL},
+most AS (SELECT video, person_id, max(x2 - x1) AS w, max(y2 - y1) AS h FROM detections GROUP BY ALL)
+SELECT event_id,
+       CAST(trunc(greatest(0.0::DOUBLE, y1 + (y2 - y1) / 2 - h * 1.2::DOUBLE / 2)) AS INTEGER) AS y_start, CAST(trunc(y1 + (y2 - y1) / 2 + h * 1.2::DOUBLE / 2) AS INTEGER) AS y_end,
+       CAST(trunc(greatest(0.0::DOUBLE, x1 + (x2 - x1) / 2 - w * 1.2::DOUBLE / 2)) AS INTEGER) AS x_start, CAST(trunc(x1 + (x2 - x1) / 2 + w * 1.2::DOUBLE / 2) AS INTEGER) AS x_end
+FROM detections JOIN most USING (video, person_id)"""
+)
+def q12_crop_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = detections(spark, sf_dir)
+    most = rows.groupBy(*TRACK).agg(F.max(F.col("x2") - F.col("x1")).alias("w"), F.max(F.col("y2") - F.col("y1")).alias("h"))
+    return rows.join(most, [*TRACK]).select("event_id", boxes.crop_region(*map(F.col, ("x1", "y1", "x2", "y2", "w", "h"))).alias("r")).select("event_id", "r.*")
+
+
+@query(
+    f"""WITH {DETECTIONS_SQL},
+scaled AS (SELECT event_id, [greatest(0, least(CAST(round_even(v * 2.5::DOUBLE, 0) AS INTEGER), m - 1)) FOR v, m IN list_zip([x2, y1, x1, y2], [1280, 720, 1280, 720])] AS b FROM detections)
+SELECT event_id, CAST(least(b[1], b[3]) AS DOUBLE) AS x1, CAST(least(b[2], b[4]) AS DOUBLE) AS y1, CAST(greatest(b[1], b[3]) AS DOUBLE) AS x2, CAST(greatest(b[2], b[4]) AS DOUBLE) AS y2 FROM scaled""".replace(
+        "[greatest(0, least(CAST(round_even(v * 2.5::DOUBLE, 0) AS INTEGER), m - 1)) FOR v, m IN list_zip([x2, y1, x1, y2], [1280, 720, 1280, 720])]",
+        "[" + ", ".join(f"greatest(0, least(CAST(round_even({v} * 2.5::DOUBLE, 0) AS INTEGER), {m - 1}))" for v, m in (("x2", 1280), ("y1", 720), ("x1", 1280), ("y2", 720))) + "]",
+    )
+)
+def q13_rescale_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scaled = boxes.rescale_box(F.array("x2", "y1", "x1", "y2"), F.lit(2.5), F.lit(1280), F.lit(720))
+    return detections(spark, sf_dir).select("event_id", scaled.alias("b")).select("event_id", *(F.element_at("b", i + 1).alias(c) for i, c in enumerate(("x1", "y1", "x2", "y2"))))
+
+
+@query(
+    """WITH k AS (SELECT vec_id, [[CAST(embedding[(i * 3) % 64 + 1] AS DOUBLE), CAST(embedding[(i * 3 + 1) % 64 + 1] AS DOUBLE), CAST(embedding[(i * 3 + 2) % 64 + 1] AS DOUBLE)] FOR i IN range(133)] AS p FROM embeddings),
+parts AS (SELECT vec_id, p[1:17] AS body, p[24:91] AS face, p[92:112] AS lh, p[113:133] AS rh FROM k)
+SELECT vec_id, len(body) AS n_body, len(face) AS n_face, len(lh) AS n_left, len(rh) AS n_right, body[17][1] AS body_last, face[1][2] AS face_first, lh[1][3] AS left_first, rh[21][1] AS right_last FROM parts"""
+)
+def q14_split_keypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = cyclic_points(F.col("embedding"), 133)
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", landmarks.split_keypoints(landmarks.merge_keypoints(p, p)).alias("s")).select("vec_id", "s.*")
+    at = lambda c, i, j: F.element_at(F.element_at(c, i), j)
+    n = lambda c: F.size(c).cast("bigint")
+    return rows.select("vec_id", n("body").alias("n_body"), n("face").alias("n_face"), n("left_hand").alias("n_left"), n("right_hand").alias("n_right"), at("body", 17, 1).alias("body_last"), at("face", 1, 2).alias("face_first"), at("left_hand", 1, 3).alias("left_first"), at("right_hand", 21, 1).alias("right_last"))
+
+
+@query(
+    """WITH k AS (SELECT vec_id, [[CAST(embedding[(i * 3) % 64 + 1] AS DOUBLE), CAST(embedding[(i * 3 + 1) % 64 + 1] AS DOUBLE), CAST(embedding[(i * 3 + 2) % 64 + 1] AS DOUBLE)] FOR i IN range(60)] AS p FROM embeddings),
+c AS (SELECT vec_id, p, [p[25][j] - (p[25][j] - p[24][j]) / 2 FOR j IN range(1, 4)] AS h FROM k),
+m AS (SELECT vec_id, p, h, [[p[i][j] - h[j] FOR j IN range(1, 4)] FOR i IN range(1, 61)] AS q FROM c),
+v AS (SELECT vec_id, flatten(list_concat(list_concat([q[i] FOR i IN [12, 13, 14, 15, 24, 25]],
+        [CASE WHEN i = 1 THEN q[1] ELSE [q[i][j] - q[1][j] FOR j IN range(1, 4)] END FOR i IN range(1, 22)]),
+        list_concat([CASE WHEN i = 40 THEN q[40] ELSE [q[i][j] - q[40][j] FOR j IN range(1, 4)] END FOR i IN range(40, 61)], p[1:10]))) AS f FROM m)
+SELECT vec_id, len(f) AS n, round(list_sum(f), 5) AS total, f[1] AS first, f[22] AS left_finger, f[174] AS face_last FROM v"""
+)
+def q15_feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = F.col("p")
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", cyclic_points(F.col("embedding"), 60).alias("p"))
+    f = landmarks.feature_vector(landmarks.trim_pose(p), F.slice(p, 1, 21), F.slice(p, 40, 21), F.slice(p, 1, 10))
+    total = F.aggregate("f", F.lit(0.0), lambda s, x: s + x)
+    return rows.select("vec_id", f.alias("f")).select("vec_id", F.size("f").cast("bigint").alias("n"), F.round(total, 5).alias("total"), *(F.element_at("f", i).alias(c) for c, i in (("first", 1), ("left_finger", 22), ("face_last", 174))))
+
+
+@query("SELECT doc_id, source, doc_id IN (SELECT doc_id FROM labels) AS labeled FROM documents")
+def q16_labeled_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curation.with_label(table(spark, sf_dir, "documents").select("doc_id", "source"), table(spark, sf_dir, "labels").select("doc_id"), ("doc_id",))
+
+
+@query(
+    """WITH v AS (SELECT source, n_chars AS s, doc_id IN (SELECT doc_id FROM labels) AS labeled FROM documents)
+SELECT CASE WHEN grouping(source) = 1 THEN 'TOTAL' ELSE source END AS source, CAST(sum(labeled::INT) AS BIGINT) AS labeled, CAST(sum((NOT labeled)::INT) AS BIGINT) AS unlabeled, count(*) AS videos,
+       CAST(sum(CASE WHEN labeled THEN s ELSE 0 END) AS DOUBLE) AS labeled_s, CAST(sum(CASE WHEN labeled THEN 0 ELSE s END) AS DOUBLE) AS unlabeled_s, CAST(sum(s) AS DOUBLE) AS total_s
+FROM v GROUP BY ROLLUP (source)"""
+)
+def q17_source_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = curation.with_label(table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"), table(spark, sf_dir, "labels").select("doc_id"), ("doc_id",))
+    return stats.report(rows.select("source", F.when(F.col("labeled"), "labeled").otherwise("unlabeled").alias("category"), F.col("n_chars").alias("seconds")))
+
+
+STAMP_SQL = "printf('%02d:%02d:%02d.%03d', CAST(floor({0} / 3600) AS BIGINT), CAST(floor(({0} % 3600) / 60) AS BIGINT), CAST(floor({0} % 60) AS BIGINT), CAST(trunc(({0} % 1) * 1000) AS BIGINT))"
+CUES_SQL = r"""WITH cues AS (SELECT conv_id AS video, turn AS seq, turn * 2.3::DOUBLE AS s, turn * 2.3::DOUBLE + 1.7::DOUBLE AS e, regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g') AS text FROM conversations)
+"""
+
+
+@query(CUES_SQL + f"SELECT video, 'WEBVTT' || chr(10) || chr(10) || string_agg({STAMP_SQL.format('s')} || ' --> ' || {STAMP_SQL.format('e')} || chr(10) || text || chr(10) || chr(10), '' ORDER BY seq) AS vtt FROM cues GROUP BY video")
+def q18_vtt_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions.write_vtt(cues(spark, sf_dir), ["video"])
+
+
+@query(
+    CUES_SQL
+    + """SELECT video, CAST(row_number() OVER (PARTITION BY video ORDER BY seq) - 1 AS INTEGER) AS seq,
+       round(floor(s) + trunc((s % 1) * 1000) / 1000, 3) AS start, round(floor(e) + trunc((e % 1) * 1000) / 1000, 3) AS "end", text FROM cues"""
+)
+def q19_vtt_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = captions.read_vtt(captions.write_vtt(cues(spark, sf_dir), ["video"]), ["video"])
+    return rows.select("video", "seq", F.round("start", 3).alias("start"), F.round("end", 3).alias("end"), "text")
+
+
+@query(
+    """WITH existing AS (SELECT o_custkey AS video, max(o_orderkey) AS value FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1),
+incoming AS (SELECT o_custkey AS video, min(o_orderkey) AS value FROM orders WHERE o_orderkey % 3 = 1 GROUP BY 1)
+SELECT * FROM existing UNION ALL SELECT * FROM incoming WHERE video NOT IN (SELECT video FROM existing)"""
+)
+def q20_merge_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("video"), F.col("o_orderkey").alias("value"))
+    existing = rows.where("value % 3 = 0").groupBy("video").agg(F.max("value").alias("value"))
+    return merge.first_wins(existing, rows.where("value % 3 = 1").withColumn("at", F.col("value")), ["video"], "at")
+
+
+@query(
+    r"""WITH n AS (SELECT page_id, split_part(url, '?', 1) AS path, string_split(split_part(url, '?', 1), '/') AS parts FROM pages),
+b AS (SELECT page_id, path, parts, parts[len(parts)] AS name FROM n)
+SELECT page_id, name, split_part(name, '.', 1) AS stem, regexp_replace(name, '(.)\.[^.]*$', '\1') AS last_stem, lower(regexp_extract(name, '.(\.[^./]*)$', 1)) AS ext,
+       replace(name, '.html', '.txt') AS swapped, CASE WHEN list_contains(parts, 'en') THEN 'labeled' WHEN list_contains(parts, 'de') THEN 'unlabeled' ELSE 'other' END AS category,
+       parts[len(parts) - 3] AS source FROM b"""
+)
+def q21_path_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = F.split_part(F.col("url"), F.lit("?"), F.lit(1))
+    rows = table(spark, sf_dir, "pages").select("page_id", path.alias("path"), X.base_name(path).alias("name"))
+    as_status = F.concat(F.regexp_replace(F.regexp_replace(F.col("path"), "/en(?=/|$)", "/labeled"), "/de(?=/|$)", "/unlabeled"), F.lit(""))
+    return rows.select("page_id", "name", X.stem_first_dot(F.col("name")).alias("stem"), X.stem_last_dot(F.col("name")).alias("last_stem"), X.extension(F.col("name")).alias("ext"), X.swap_extension(F.col("name"), ".html", ".txt").alias("swapped"), X.path_category(as_status).alias("category"), X.source_of(F.col("path")).alias("source"))
+
+
+@query(f"WITH {DETECTIONS_SQL} SELECT event_id, video, CAST(floor((row_number() OVER (PARTITION BY video ORDER BY us, event_id) - 1) / 32) AS BIGINT) AS batch FROM detections")
+def q22_batching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clips.in_batches(detections(spark, sf_dir), 32, ["video"], ["us", "event_id"]).select("event_id", "video", "batch")
+
+
+@query(
+    """WITH d AS (SELECT vec_id, [CAST(embedding[i] AS DOUBLE) FOR i IN [1, 2, 3]] AS v, [CAST(embedding[i] AS DOUBLE) FOR i IN [4, 5, 6]] AS a, [CAST(embedding[i] AS DOUBLE) FOR i IN [7, 8, 9]] AS b FROM embeddings),
+u AS (SELECT vec_id, v, [x / sqrt(list_sum([y * y FOR y IN a])) FOR x IN a] AS a, [x / sqrt(list_sum([y * y FOR y IN b])) FOR x IN b] AS b FROM d),
+k AS (SELECT *, a[1] * b[1] + a[2] * b[2] + a[3] * b[3] AS c, [a[2] * b[3] - a[3] * b[2], a[3] * b[1] - a[1] * b[3], a[1] * b[2] - a[2] * b[1]] AS n FROM u),
+r AS (SELECT vec_id, v, c, sqrt(1 - c * c) AS s, [x / sqrt(list_sum([y * y FOR y IN n])) FOR x IN n] AS k FROM k),
+t AS (SELECT vec_id, [v[1] * c + (k[2] * v[3] - k[3] * v[2]) * s + k[1] * (k[1] * v[1] + k[2] * v[2] + k[3] * v[3]) * (1 - c),
+  v[2] * c + (k[3] * v[1] - k[1] * v[3]) * s + k[2] * (k[1] * v[1] + k[2] * v[2] + k[3] * v[3]) * (1 - c),
+  v[3] * c + (k[1] * v[2] - k[2] * v[1]) * s + k[3] * (k[1] * v[1] + k[2] * v[2] + k[3] * v[3]) * (1 - c)] AS w FROM r)
+SELECT vec_id, round(w[1], 5) AS x, round(w[2], 5) AS y, round(w[3], 5) AS z FROM t"""
+)
+def q23_rodrigues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = points(F.col("embedding"), 3)
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", p.alias("p"))
+    w = landmarks.rotate(*(F.element_at("p", i) for i in (1, 2, 3)))
+    return rows.select("vec_id", w.alias("w")).select("vec_id", *(F.round(F.element_at("w", i + 1), 5).alias(c) for i, c in enumerate("xyz")))
+
+
+#: A made-up neutral hand for the query: 21 points on a slanted line.
+NEUTRAL = [[0.05 * i, 0.1 * i, 0.01 * i] for i in range(21)]
+
+
+@query()
+def q24_hand_synthesis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing left hands of the clips made from the last seen one; tested against a plain fold."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("label").alias("clip"), F.col("vec_id").alias("ts"), cyclic_points(F.col("embedding"), 25).alias("pose"), points(F.col("embedding"), 21).alias("seen"))
+    rows = rows.select("clip", "ts", F.when(F.col("ts") % 11 != 5, F.col("pose")).alias("pose"), F.when(F.col("ts") % 3 == 0, F.col("seen")).alias("left_hand"))
+    out = hands.complete_hand(rows, ["clip"], "ts", "left", NEUTRAL)
+    at = lambda i, j: F.round(F.element_at(F.element_at("left_hand", i), j), 5)
+    return out.select("clip", "ts", F.col("left_hand").isNotNull().alias("present"), at(1, 1).alias("wrist_x"), at(10, 2).alias("knuckle_y"))
+
+
+EDGES_SQL = ", ".join(f"({a}, {b})" for a, b in [(0 if j == 0 else 4 * f + j, 4 * f + j + 1) for f in range(5) for j in range(4)] + [(4 * f + 1, 4 * f + 5) for f in range(1, 4)])
+
+
+@query(
+    f"""WITH edges(a, b) AS (VALUES {EDGES_SQL}),
+pts AS (SELECT vec_id, i AS point, CAST(embedding[3 * i + 1] AS DOUBLE) AS x, CAST(embedding[3 * i + 2] AS DOUBLE) AS y FROM embeddings, range(21) t(i) WHERE (vec_id + i) % 6 <> 0)
+SELECT p.vec_id, CAST(a AS INTEGER) AS a, CAST(b AS INTEGER) AS b, p.x AS x1, p.y AS y1, q.x AS x2, q.y AS y2 FROM edges JOIN pts p ON p.point = a JOIN pts q ON q.point = b AND q.vec_id = p.vec_id"""
+)
+def q25_bones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hand = F.transform(points(F.col("embedding"), 21), lambda p, i: F.when((F.col("vec_id") + i) % 6 != 0, p).otherwise(F.array_repeat(F.lit(float("nan")), 3)))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", hand.alias("hand"))
+    return landmarks.bones(landmarks.valid_points(rows, "hand", ["vec_id"]), landmarks.hand_edges(spark), ["vec_id"])
+
+
+@query(
+    """WITH RECURSIVE e AS (SELECT user_id, epoch_us(ts) AS us FROM events),
+kept(user_id, us) AS (
+  SELECT user_id, min(us) FROM e GROUP BY user_id
+  UNION ALL
+  SELECT e.user_id, min(e.us) FROM kept k JOIN e ON e.user_id = k.user_id AND e.us >= k.us + 86400000000 GROUP BY e.user_id, k.us)
+SELECT user_id, us FROM kept"""
+)
+def q26_rate_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = detections(spark, sf_dir).select(F.col("person_id").alias("user_id"), "us")
+    return rate.rate_limit(rows, ["user_id"], "us", 86_400_000_000)
+
+
+@query("SELECT DISTINCT source, lang FROM documents ORDER BY source, lang LIMIT 10")
+def q27_dedupe_sort_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten of the distinct pairs: the report shows ten."""
+    return table(spark, sf_dir, "documents").select("source", "lang").distinct().orderBy("source", "lang").limit(10)
+
+
+@query(
+    """WITH v AS (SELECT doc_id, doc_id % 2 = 1 AS subs, doc_id % 3 = 1 AS auto, doc_id % 5 < 2 AS gen, doc_id IN (SELECT doc_id FROM labels) AS vtt, CASE WHEN doc_id % 11 = 0 THEN NULL ELSE doc_id % 7 > 2 END AS speech FROM documents),
+s AS (SELECT *, CASE WHEN (subs OR auto) AND vtt THEN 'labeled' WHEN auto OR gen THEN CASE WHEN speech IS NOT NULL AND NOT speech THEN 'unlabeled' ELSE 'pending' END ELSE 'unlabeled' END AS sorted_status FROM v)
+SELECT doc_id, sorted_status, CASE WHEN sorted_status = 'pending' AND gen THEN 'labeled' ELSE sorted_status END AS status FROM s"""
+)
+def q28_curation_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("doc_id")
+    rows = curation.with_label(table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels").select("doc_id"), ("doc_id",))
+    status = curation.status_after_sorting(i % 2 == 1, i % 3 == 1, i % 5 < 2, F.col("labeled"), F.when(i % 11 != 0, i % 7 > 2))
+    return rows.select("doc_id", status.alias("sorted_status")).withColumn("status", curation.status_after_transcribing(F.col("sorted_status"), i % 5 < 2))
+
+
+@query(
+    """WITH k AS (SELECT vec_id, [CAST(trunc(CAST(embedding[3 * i + 1] AS DOUBLE) * 640) AS INTEGER) FOR i IN range(21)] AS xs, [CAST(trunc(CAST(embedding[3 * i + 2] AS DOUBLE) * 360) AS INTEGER) FOR i IN range(21)] AS ys FROM embeddings)
+SELECT vec_id, greatest(0, -list_min(xs)) AS "left", greatest(0, -list_min(ys)) AS top, greatest(0, list_max(xs) - 640 + 1) AS "right", greatest(0, list_max(ys) - 360 + 1) AS bottom FROM k"""
+)
+def q29_padding_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pixels = landmarks.to_pixels(points(F.col("embedding"), 21), F.lit(640), F.lit(360))
+    return table(spark, sf_dir, "embeddings").select("vec_id", landmarks.needed_padding(pixels, F.lit(640), F.lit(360)).alias("p")).select("vec_id", "p.*")
+
+
+@query(
+    f"""SELECT o_orderkey, {STAMP_SQL.format('o_totalprice')} AS stamp, CAST(trunc(o_totalprice * 1000) AS BIGINT) AS millis, round(o_totalprice / 3600, 6) AS hours,
+       CAST(floor(o_totalprice / 60) AS BIGINT) AS minutes, CAST(floor(o_totalprice) AS BIGINT) % 60 AS seconds, (o_orderkey + 1) % 7 AS next_index FROM orders"""
+)
+def q30_scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = F.col("o_totalprice")
+    rows = table(spark, sf_dir, "orders").withColumn("m", X.minutes_and_seconds(s))
+    return rows.select("o_orderkey", X.format_timestamp(s).alias("stamp"), X.seconds_to_millis(s).alias("millis"), F.round(X.hours(s), 6).alias("hours"), "m.minutes", "m.seconds", X.cyclic(F.col("o_orderkey"), 1, F.lit(7)).cast("bigint").alias("next_index"))
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)")
+def q31_todo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 1).alias("done"))
+    return merge.todo(table(spark, sf_dir, "documents").select("doc_id", "source"), manifest, ["doc_id"])
+
+
+@query(
+    f"""WITH {DETECTIONS_SQL},
+missing AS (SELECT DISTINCT video, event_id AS frame FROM detections WHERE event_id % 5 < 3),
+runs AS (SELECT video, min(frame) AS start, max(frame) AS "end" FROM (SELECT *, frame - row_number() OVER (PARTITION BY video ORDER BY frame) AS run FROM missing) GROUP BY video, run)
+SELECT d.event_id AS frame, d.video, r.start, r."end" FROM detections d LEFT JOIN runs r ON d.video = r.video AND d.event_id BETWEEN r.start AND r."end" """
+)
+def q32_island_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = detections(spark, sf_dir).select(F.col("event_id").alias("frame"), "video")
+    return gaps.covering(rows, gaps.islands(rows.where("frame % 5 < 3"), ["video"]), ["video"])
+
+
+@query(
+    """WITH rows_ AS (SELECT label AS clip, vec_id AS frame FROM embeddings),
+p AS (SELECT *, lag(frame) OVER (PARTITION BY clip ORDER BY frame) AS before FROM rows_)
+SELECT clip, frame, coalesce(frame - before > 1, frame > 0) AS jumped FROM p"""
+)
+def q33_jumps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gaps.jumps(table(spark, sf_dir, "embeddings").select(F.col("label").alias("clip"), F.col("vec_id").alias("frame")), ["clip"], "frame")
+
+
+@query(
+    """WITH k AS (SELECT vec_id, [CAST(embedding[i] AS DOUBLE) FOR i IN range(1, 64)] AS e FROM embeddings),
+d AS (SELECT vec_id, sqrt(pow(e[1] - e[4], 2) + pow(e[2] - e[5], 2) + pow(e[3] - e[6], 2)) AS arm, sqrt(pow(e[1] - e[28], 2) + pow(e[2] - e[29], 2) + pow(e[3] - e[30], 2)) AS hand FROM k)
+SELECT vec_id, round(CASE WHEN hand <> 0 THEN arm / hand END, 5) AS ratio FROM d"""
+)
+def q34_arm_hand_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = points(F.col("embedding"), 21)
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(landmarks.arm_hand_ratio(F.element_at(p, 1), F.element_at(p, 2), p), 5).alias("ratio"))

@@ -25,23 +25,36 @@ BLOCK = 256
 PERCENTILE = 0.95
 SHARD_IDS = 1 << 18
 END_ID = 2
-CACHE_PIECES = 1 << 18
+CACHE_PIECES = 1 << 19
 MAGIC = b"TLPF"
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
-    """Rows of unsigned values as rows of bytes, ``width`` bits each, high bits first."""
-    kind, size = (">u2", 16) if width <= 16 else (">u4", 32)
-    bits = np.unpackbits(values.astype(kind).view(np.uint8).reshape(*values.shape, size // 8), axis=2)[:, :, size - width :]
-    return np.packbits(bits.reshape(len(values), -1), axis=1)
+    """Rows of unsigned values as rows of bytes, ``width`` bits each, high bits first. Eight values fill ``width`` bytes, so each of the eight has its own bytes and shift."""
+    rows, n = values.shape
+    groups = -(-n // 8)
+    padded = np.zeros((rows, groups * 8), np.uint64)
+    padded[:, :n] = values
+    padded = padded.reshape(rows, groups, 8)
+    out = np.zeros((rows, groups, width + 5), np.uint8)
+    span = (width + 7) // 8 + 1  # bytes that one value may touch
+    for j in range(8 if width else 0):
+        at, off = divmod(j * width, 8)
+        moved = padded[:, :, j] << np.uint64(8 * span - width - off)
+        for b in range(span):
+            out[:, :, at + b] |= (moved >> np.uint64(8 * (span - 1 - b))).astype(np.uint8)
+    return out[:, :, :width].reshape(rows, -1)[:, : -(-n * width // 8)]
 
 
 def _unpack(raw: np.ndarray, n: int, width: int) -> np.ndarray:
     """The inverse of :func:`_pack`, for n values a row."""
-    kind, size = (">u2", 16) if width <= 16 else (">u4", 32)
-    bits = np.zeros((len(raw), n, size), np.uint8)
-    bits[:, :, size - width :] = np.unpackbits(raw, axis=1)[:, : n * width].reshape(len(raw), n, width)
-    return np.packbits(bits, axis=2).reshape(len(raw), -1).view(kind).astype(np.uint32)
+    if not width:
+        return np.zeros((len(raw), n), np.uint32)
+    padded = np.zeros((len(raw), raw.shape[1] + 8), np.uint8)
+    padded[:, : raw.shape[1]] = raw
+    bit = np.arange(n) * width
+    words = np.ndarray((len(raw), raw.shape[1] + 1), ">u8", padded, strides=(padded.strides[0], 1))[:, bit >> 3].astype(np.uint64)
+    return ((words >> (64 - width - (bit & 7)).astype(np.uint64)) & np.uint64((1 << width) - 1)).astype(np.uint32)
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
@@ -179,17 +192,24 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        out, get = [], self.young.get
+        firsts, cut, rows, holes, get = [], [], [], [], self.young.get
         for text in texts:
             plain = not ("  " in text or " \n" in text or "\n " in text) and text.replace("\n", "").isprintable()
             first, *pieces = text.split(" ") if plain else self.SAFE.split(text)
             ids = list(map(get, pieces))
-            if None in ids:
-                self._learn([p for p, x in zip(pieces, ids, strict=True) if x is None])
-                ids = list(map(get, pieces))
-            out.append(self._ids(first).tobytes() + b"".join(ids))
-        if len(self.young) > CACHE_PIECES:
-            self.young, self.old = {}, self.young
+            firsts.append(first)
+            cut.append(pieces)
+            rows.append(ids)
+            holes.append([k for k, x in enumerate(ids) if x is None])
+        self._learn(list(dict.fromkeys([pieces[k] for pieces, at in zip(cut, holes, strict=True) for k in at])))
+        known = self.young
+        for pieces, ids, at in zip(cut, rows, holes, strict=True):
+            for k in at:
+                ids[k] = known[pieces[k]]
+        heads = self.tokenizer.encode_batch_fast(firsts, add_special_tokens=False)
+        out = [np.array(h.ids, "<u4").tobytes() + b"".join(ids) for h, ids in zip(heads, rows, strict=True)]
+        if len(known) > CACHE_PIECES:
+            self.young, self.old = {}, known
         return out
 
 

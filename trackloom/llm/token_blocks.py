@@ -2,7 +2,7 @@
 
 A shard holds the ids of consecutive documents, each closed by an end id, cut into blocks of ``BLOCK`` ids. A block stores its minimum and the differences to it in ``width`` bits, where the width is that of the ``PERCENTILE`` of its differences; what is wider is patched from an exception list (position, high part). A shard's index gives the byte at which each block starts, so one block can be read alone.
 
-Shard layout, little endian: magic ``TLPF``, uint32 version, uint32 ids, uint32 blocks, uint32 start of each block and of the end, then blocks: uint32 minimum, uint8 width, uint8 bits of the high parts, uint16 exceptions, packed low parts, uint8 exception positions, packed high parts.
+Shard layout, little endian: magic ``TLPF``, uint32 version, uint32 ids, uint32 blocks, uint32 start of each block and of the end, then blocks: uint32 minimum, uint8 width, uint8 bytes of each high part (1, 2 or 4, the same in a shard), uint16 exceptions, packed low parts, uint8 exception positions, high parts.
 
 Shards are rows of a Parquet table (part, seq, document index, image), so that any store that Spark can write to holds them, commits are atomic, and a lost executor leaves no half shard. Documents are dealt by ranges of their id, so shards in order of (part, seq) hold ascending ids.
 """
@@ -63,70 +63,80 @@ def _bits(x: np.ndarray) -> np.ndarray:
 
 
 def encode_shard(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
-    """The image of a shard that holds ``ids`` (unsigned 32-bit)."""
+    """The image of a shard that holds ``ids`` (unsigned 32-bit). All blocks are laid out together; there is no step per block."""
     n = len(ids)
     blocks = -(-n // BLOCK)
-    grid = np.full((blocks, BLOCK), ids[-1] if n else 0, np.uint32)
+    head = MAGIC + np.array([1, n, blocks], "<u4").tobytes()
+    if not n:
+        return head + np.array([20], "<u4").tobytes()
+    grid = np.full((blocks, BLOCK), ids[-1], np.uint32)
     grid.ravel()[:n] = ids
-    low = grid.min(axis=1, initial=np.iinfo(np.uint32).max) if blocks else np.empty(0, np.uint32)
+    low = grid.min(axis=1)
     rest = grid - low[:, None]
     rank = min(BLOCK - 1, int(BLOCK * percentile))
-    width = _bits(np.partition(rest, rank, axis=1)[:, rank]) if blocks else np.empty(0, np.int64)
+    width = _bits(np.partition(rest, rank, axis=1)[:, rank])
     high = rest >> width[:, None].astype(np.uint32)
-    packed: list = [None] * blocks
-    for w in np.unique(width):
-        at = np.flatnonzero(width == w)
-        for i, row in zip(at, _pack(rest[at] & np.uint32((1 << int(w)) - 1), int(w)), strict=True):
-            packed[i] = row.tobytes()
-    over = _bits(high.max(axis=1, initial=0))
     where, pos = np.nonzero(high)
-    cuts = np.searchsorted(where, np.arange(blocks + 1))
-    out, starts, size = [], [], 16 + 4 * (blocks + 1)
-    for i in range(blocks):
-        p = pos[cuts[i] : cuts[i + 1]]
-        patch = p.astype(np.uint8).tobytes() + _pack(high[i, p][None], int(over[i])).tobytes() if len(p) else b""
-        starts.append(size)
-        out.append(b"".join((int(low[i]).to_bytes(4, "little"), bytes((int(width[i]), int(over[i]))), len(p).to_bytes(2, "little"), packed[i], patch)))
-        size += len(out[-1])
-    return MAGIC + np.array([1, n, blocks, *starts, size], "<u4").tobytes() + b"".join(out)
+    patched = high[where, pos]
+    bytes_each = next(k for k in (1, 2, 4) if patched.max(initial=0) < 1 << 8 * k)
+    times = np.bincount(where, minlength=blocks)
+    body = BLOCK * width // 8
+    sizes = 8 + body + times * (1 + bytes_each)
+    starts = 16 + 4 * (blocks + 1) + np.concatenate(([0], np.cumsum(sizes)))
+    out = np.zeros(int(starts[-1]), np.uint8)
+    out[:16] = np.frombuffer(head, np.uint8)
+    out[16 : starts[0]] = starts.astype("<u4").view(np.uint8)
+    at = starts[:-1]
+    heads = np.column_stack((low.astype("<u4").view(np.uint8).reshape(-1, 4), width, np.full(blocks, bytes_each), times.astype("<u2").view(np.uint8).reshape(-1, 2)))
+    out[at[:, None] + np.arange(8)] = heads.astype(np.uint8)
+    for w in np.unique(width):
+        if w:
+            own = np.flatnonzero(width == w)
+            out[at[own][:, None] + 8 + np.arange(BLOCK * int(w) // 8)] = _pack(rest[own] & np.uint32((1 << int(w)) - 1), int(w))
+    order = np.arange(len(where)) - np.repeat(np.cumsum(times) - times, times)
+    spot = (at + 8 + body)[where] + order
+    out[spot] = pos
+    spot += (times[where] - order) + order * bytes_each
+    for k in range(bytes_each):
+        out[spot + k] = (patched >> np.uint32(8 * k)).astype(np.uint8)
+    return out.tobytes()
+
+
+def _decode(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Ids (blocks x BLOCK) of the blocks that begin at ``starts``. Blocks of one width are unpacked together, all exceptions at once."""
+    head = raw[starts[:, None] + np.arange(8)]
+    low, width, bytes_each, times = np.ascontiguousarray(head[:, :4]).view("<u4").ravel(), head[:, 4].astype(np.int64), head[:, 5].astype(np.int64), np.ascontiguousarray(head[:, 6:]).view("<u2").ravel().astype(np.int64)
+    out = np.zeros((len(starts), BLOCK), np.uint32)
+    for w in np.unique(width):
+        if w:
+            own = np.flatnonzero(width == w)
+            out[own] = _unpack(raw[starts[own][:, None] + 8 + np.arange(BLOCK * int(w) // 8)], BLOCK, int(w))
+    where = np.repeat(np.arange(len(starts)), times)
+    if len(where):
+        order = np.arange(len(where)) - np.repeat(np.cumsum(times) - times, times)
+        spot, each = (starts + 8 + BLOCK * width // 8)[where], int(bytes_each[0])
+        pos = raw[spot + order]
+        spot = spot + times[where] + order * each
+        high = np.zeros(len(where), np.uint32)
+        for k in range(each):
+            high |= raw[spot + k].astype(np.uint32) << np.uint32(8 * k)
+        out[where, pos] |= high << width[where].astype(np.uint32)
+    return out + low[:, None]
 
 
 def decode_block(image: bytes, i: int) -> np.ndarray:
     """Ids of block ``i``, found through the index; the last block may be padded."""
-    start = int.from_bytes(image[16 + 4 * i : 20 + 4 * i], "little")
-    low, width, over, n = int.from_bytes(image[start : start + 4], "little"), image[start + 4], image[start + 5], int.from_bytes(image[start + 6 : start + 8], "little")
-    at = start + 8
-    body = BLOCK * width // 8
-    out = _unpack(np.frombuffer(image, np.uint8, body, at)[None], BLOCK, width)[0] if width else np.zeros(BLOCK, np.uint32)
-    at += body
-    if n:
-        pos = np.frombuffer(image, np.uint8, n, at)
-        high = _unpack(np.frombuffer(image, np.uint8, -(-n * over // 8), at + n)[None], n, over)[0]
-        out[pos] |= high << np.uint32(width)
-    return out + np.uint32(low)
+    return _decode(np.frombuffer(image, np.uint8), np.frombuffer(image, "<u4", 1, 16 + 4 * i).astype(np.int64))[0]
 
 
 def decode_shard(image: bytes) -> np.ndarray:
-    """All ids of a shard. Blocks of one width are unpacked together."""
+    """All ids of a shard."""
     if image[:4] != MAGIC:
         raise ValueError("not a shard")
     _, n, blocks = np.frombuffer(image, "<u4", 3, 4)
     if not n:
         return np.empty(0, np.uint32)
-    raw = np.frombuffer(image, np.uint8)
-    starts = np.frombuffer(image, "<u4", blocks, 16).astype(np.int64)
-    head = raw[starts[:, None] + np.arange(8)]
-    low, width, over, exceptions = np.ascontiguousarray(head[:, :4]).view("<u4").ravel(), head[:, 4], head[:, 5], np.ascontiguousarray(head[:, 6:]).view("<u2").ravel()
-    out = np.zeros((blocks, BLOCK), np.uint32)
-    for w in np.unique(width):
-        if w:
-            at = np.flatnonzero(width == w)
-            out[at] = _unpack(raw[starts[at][:, None] + 8 + np.arange(BLOCK * int(w) // 8)], BLOCK, int(w))
-    for i in np.flatnonzero(exceptions):
-        k, at = int(exceptions[i]), int(starts[i]) + 8 + BLOCK * int(width[i]) // 8
-        high = _unpack(raw[at + k : at + k - (-k * int(over[i]) // 8)][None], k, int(over[i]))[0]
-        out[i, raw[at : at + k]] |= high << np.uint32(width[i])
-    return (out + low[:, None]).ravel()[:n]
+    return _decode(np.frombuffer(image, np.uint8), np.frombuffer(image, "<u4", blocks, 16).astype(np.int64)).ravel()[:n]
 
 
 class Encoder:

@@ -297,9 +297,36 @@ def q23_rodrigues(spark: SparkSession, sf_dir: str) -> DataFrame:
 NEUTRAL = [[0.05 * i, 0.1 * i, 0.01 * i] for i in range(21)]
 
 
-@query()
+HAND_SQL = f"""WITH neutral AS (SELECT [{", ".join(f"[{float(x)!r}::DOUBLE, {float(y)!r}::DOUBLE, {float(z)!r}::DOUBLE]" for x, y, z in NEUTRAL)}] AS hand),
+d AS (
+  SELECT label AS clip, vec_id AS ts,
+         CASE WHEN vec_id % 11 <> 5 THEN [[CAST(embedding[(i * 3 + c) % 64 + 1] AS DOUBLE) FOR c IN range(3)] FOR i IN range(25)] END AS pose,
+         CASE WHEN vec_id % 3 = 0 THEN [[CAST(embedding[i * 3 + c + 1] AS DOUBLE) FOR c IN range(3)] FOR i IN range(21)] END AS hand FROM embeddings),
+f AS (
+  SELECT *, CASE WHEN pose IS NOT NULL THEN [pose[14][c] - pose[16][c] FOR c IN range(1, 4)] END AS arm FROM d),
+g AS (
+  SELECT *, CASE WHEN hand IS NOT NULL AND arm IS NOT NULL THEN sqrt(list_sum([a * a FOR a IN arm])) / sqrt(pow(hand[1][1] - hand[10][1], 2) + pow(hand[1][2] - hand[10][2], 2) + pow(hand[1][3] - hand[10][3], 2)) END AS own FROM f),
+w AS (
+  SELECT *, last_value(hand IGNORE NULLS) OVER t AS seen, last_value(CASE WHEN hand IS NOT NULL THEN {{'arm': arm}} END IGNORE NULLS) OVER t AS seen_arm, first_value(own IGNORE NULLS) OVER t AS ratio
+  FROM g WINDOW t AS (PARTITION BY clip ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+s AS (SELECT clip, ts, w.hand AS hand, pose, arm, ratio, seen_arm, coalesce(seen, n.hand) AS base FROM w, neutral n),
+c AS (SELECT *, [[p[k] - base[1][k] FOR k IN range(1, 4)] FOR p IN base] AS still FROM s),
+v AS (SELECT *, coalesce(seen_arm.arm, [still[1][k] - still[10][k] FOR k IN range(1, 4)]) AS v1 FROM c),
+u AS (SELECT *, [x / sqrt(list_sum([y * y FOR y IN v1])) FOR x IN v1] AS a, [x / sqrt(list_sum([y * y FOR y IN arm])) FOR x IN arm] AS b FROM v),
+r AS (SELECT *, a[1] * b[1] + a[2] * b[2] + a[3] * b[3] AS co, [a[2] * b[3] - a[3] * b[2], a[3] * b[1] - a[1] * b[3], a[1] * b[2] - a[2] * b[1]] AS n FROM u),
+k AS (SELECT *, sqrt(greatest(0, 1 - co * co)) AS si, [x / sqrt(list_sum([y * y FOR y IN n])) FOR x IN n] AS ax,
+        sqrt(list_sum([y * y FOR y IN arm])) / coalesce(ratio, 6.1::DOUBLE) / sqrt(list_sum([pow(still[1][k] - still[10][k], 2) FOR k IN range(1, 4)])) AS size FROM r),
+m AS (SELECT *, still[10] AS p, ax[1] * still[10][1] + ax[2] * still[10][2] + ax[3] * still[10][3] AS along FROM k),
+made AS (
+  SELECT clip, ts, hand, pose, pose[16] AS wrist,
+         pose[16][2] + size * CASE WHEN co > 0.999999 THEN p[2] ELSE p[2] * co + (ax[3] * p[1] - ax[1] * p[3]) * si + ax[2] * along * (1 - co) END AS y FROM m)
+SELECT clip, ts, hand IS NOT NULL OR pose IS NOT NULL AS present,
+       round(CASE WHEN hand IS NOT NULL THEN hand[1][1] ELSE wrist[1] END, 5) AS wrist_x, round(CASE WHEN hand IS NOT NULL THEN hand[10][2] ELSE y END, 5) AS knuckle_y FROM made"""
+
+
+@query(HAND_SQL)
 def q24_hand_synthesis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Missing left hands of the clips made from the last seen one; tested against a plain fold."""
+    """Missing left hands of the clips, made from the last seen one."""
     rows = table(spark, sf_dir, "embeddings").select(F.col("label").alias("clip"), F.col("vec_id").alias("ts"), cyclic_points(F.col("embedding"), 25).alias("pose"), points(F.col("embedding"), 21).alias("seen"))
     rows = rows.select("clip", "ts", F.when(F.col("ts") % 11 != 5, F.col("pose")).alias("pose"), F.when(F.col("ts") % 3 == 0, F.col("seen")).alias("left_hand"))
     out = hands.complete_hand(rows, ["clip"], "ts", "left", NEUTRAL)

@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 
@@ -106,3 +106,24 @@ def stream_fill_gaps(frames: DataFrame, keys: list[str], order: str, value: str,
     """Values in order with short gaps filled as soon as their right side is known; adds ``filled`` and ``jumped`` (frames are missing right before, because a gap was too long or at the start). Frames without a value may come or not."""
     schema = StructType([*(StructField(f.name, f.dataType) for f in frames.schema)]).add("filled", BooleanType()).add("jumped", BooleanType())
     return _run(frames, keys, _Gaps(order, value, max_gap), schema)
+
+
+class Progress(StreamingQueryListener):
+    """Counts rows and batches of streams as they finish, by the query's name."""
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self.ended: list[str] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.rows[p.name or str(p.id)] = self.rows.get(p.name or str(p.id), 0) + p.numInputRows
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.append(str(event.id))

@@ -4,7 +4,7 @@ A shard holds the ids of consecutive documents, each closed by an end id, cut in
 
 Shard layout, little endian: magic ``TLPF``, uint32 version, uint32 ids, uint32 blocks, uint32 start of each block and of the end, then blocks: uint32 minimum, uint8 width, uint8 bytes of each high part (1, 2 or 4, the same in a shard), uint16 exceptions, packed low parts, uint8 exception positions, high parts.
 
-Shards are rows of a Parquet table (part, seq, document index, image), so that any store that Spark can write to holds them, commits are atomic, and a lost executor leaves no half shard. Documents are dealt by ranges of their id, so shards in order of (part, seq) hold ascending ids.
+Shards are rows of a Parquet table (part, seq, offset in the part, document index, image), so that any store that Spark can write to holds them, commits are atomic, and a lost executor leaves no half shard. Documents are dealt by ranges of their id, so shards in order of (part, seq) hold ascending ids.
 """
 
 from __future__ import annotations
@@ -230,7 +230,7 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-SHARD = "part int, seq int, n_tokens long, doc_ids array<long>, lengths array<long>, image binary"
+SHARD = "part int, seq int, offset long, n_tokens long, doc_ids array<long>, lengths array<long>, image binary"
 
 
 def _shards(path: str, end_id: int, shard_ids: int):
@@ -238,12 +238,12 @@ def _shards(path: str, end_id: int, shard_ids: int):
         from pyspark import TaskContext
 
         encoder, end, part, seq = _encoder(path), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), 0
-        ids, data, size = [], [], 0
+        ids, data, size, offset = [], [], 0, 0
 
         def out():
             lengths = [len(x) // 4 for x in data]
             image = encode_shard(np.frombuffer(b"".join(data), "<u4"))
-            return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "n_tokens": pa.array([sum(lengths)], pa.int64()), "doc_ids": pa.array([ids], pa.list_(pa.int64())), "lengths": pa.array([lengths], pa.list_(pa.int64())), "image": pa.array([image], pa.binary())})
+            return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "offset": pa.array([offset], pa.int64()), "n_tokens": pa.array([sum(lengths)], pa.int64()), "doc_ids": pa.array([ids], pa.list_(pa.int64())), "lengths": pa.array([lengths], pa.list_(pa.int64())), "image": pa.array([image], pa.binary())})
 
         for batch in batches:
             for lo in range(0, batch.num_rows, 128):
@@ -254,7 +254,7 @@ def _shards(path: str, end_id: int, shard_ids: int):
                     size += len(data[-1]) // 4
                     if size >= shard_ids:
                         yield out()
-                        seq, ids, data, size = seq + 1, [], [], 0
+                        seq, offset, ids, data, size = seq + 1, offset + size, [], [], 0
         if ids:
             yield out()
 
@@ -262,7 +262,7 @@ def _shards(path: str, end_id: int, shard_ids: int):
 
 
 def write_token_blocks(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, shard_ids: int = SHARD_IDS, partitions: int | None = None, path: str | None = None) -> DataFrame:
-    """Encode every text and write shards; returns the written table (part, seq, n_tokens, doc_ids, lengths, image), read back from ``path`` or a scratch table.
+    """Encode every text and write shards; returns the written table (part, seq, offset, n_tokens, doc_ids, lengths, image), read back from ``path`` or a scratch table.
 
     Ids ascend over (part, seq) and inside a shard; a null id comes first, and rows that share an id follow the hash of their text. A null or empty text is its end id alone. A document is never cut, so one longer than ``shard_ids`` makes a longer shard. An empty table gives no shard.
     """
@@ -289,15 +289,12 @@ def _read(batches):
 def read_token_blocks(shards: DataFrame) -> DataFrame:
     """One row per document from the shards: doc_id, start (ids of all documents before it), n_tokens, ids_crc32.
 
-    A shard starts after the ids of all earlier parts (a running sum over one row a part) and of earlier shards of its part.
+    A shard knows the ids before it in its part, so only the parts' totals are summed up: one row for each partition that wrote, which is also what bounds the broadcast. Images are not shuffled.
     """
-    parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("ids"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(F.col("part").alias("of_part"), F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("part_start"))
-    inside = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    index = shards.select("part", "seq", "n_tokens").withColumn("shard_start", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
-    index = index.join(parts, F.col("part") == F.col("of_part")).select(F.col("part").alias("p"), F.col("seq").alias("s"), (F.col("part_start") + F.col("shard_start")).alias("start"))
-    rows = shards.join(index, (F.col("part") == F.col("p")) & (F.col("seq") == F.col("s"))).select("start", "doc_ids", "lengths", "image")
+    parts = shards.groupBy(F.col("part").alias("of_part")).agg(F.max(F.col("offset") + F.col("n_tokens")).alias("ids"))
+    before = Window.orderBy("of_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("of_part", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("part_start"))
+    rows = shards.join(F.broadcast(parts), F.col("part") == F.col("of_part")).select((F.col("part_start") + F.col("offset")).alias("start"), "doc_ids", "lengths", "image")
     return rows.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

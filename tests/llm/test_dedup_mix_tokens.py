@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 
 from trackloom.llm.exact_dedup import exact_dedup, golomb_decode, golomb_encode
 from trackloom.llm.mixing import mix_sources
-from trackloom.llm.token_blocks import decode_block, decode_shard, encode_shard, read_token_blocks, write_token_blocks
+from trackloom.llm.token_blocks import _encoder, decode_block, decode_shard, encode_shard, read_token_blocks, write_token_blocks
 
 DOCS = "doc_id long, text string, source string, kept string, size string"
 
@@ -118,3 +118,16 @@ def test_token_blocks(spark):
         assert g.start == at and (g.doc_id is None or g.doc_id >= last)
         at, last = at + g.n_tokens, last if g.doc_id is None else g.doc_id
     assert read_token_blocks(write_token_blocks(df.limit(0), path)).count() == 0
+
+
+@given(st.lists(st.text(alphabet="aZé.,\n '19-\t  !", max_size=40), max_size=12))
+@settings(max_examples=300, deadline=None)
+def test_encoder_gives_the_library_its_ids(texts):
+    tokenizers = pytest.importorskip("tokenizers")
+    P = pytest.importorskip("public_tokenizers")
+    path = P.path("byte_bpe_50k.json")
+    encoder = _encoder(path)
+    plain = tokenizers.Tokenizer.from_file(path) if not hasattr(test_encoder_gives_the_library_its_ids, "t") else test_encoder_gives_the_library_its_ids.t
+    test_encoder_gives_the_library_its_ids.t = plain
+    plain.encode_special_tokens = True
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]

@@ -146,6 +146,8 @@ class Encoder:
     """
 
     SAFE = re.compile(r"(?<=\S) (?=\S)")
+    #: Where none of these occurs, white space is single spaces and line breaks, and no two of them touch at a space.
+    ODD = ("  ", " \n", "\n ", *(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"))
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -204,7 +206,7 @@ class Encoder:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         firsts, cut, rows, holes, get = [], [], [], [], self.young.get
         for text in texts:
-            plain = not ("  " in text or " \n" in text or "\n " in text) and text.replace("\n", "").isprintable()
+            plain = not any(x in text for x in self.ODD)
             first, *pieces = text.split(" ") if plain else self.SAFE.split(text)
             ids = list(map(get, pieces))
             firsts.append(first)
@@ -246,8 +248,8 @@ def _shards(path: str, end_id: int, shard_ids: int):
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "offset": pa.array([offset], pa.int64()), "n_tokens": pa.array([sum(lengths)], pa.int64()), "doc_ids": pa.array([ids], pa.list_(pa.int64())), "lengths": pa.array([lengths], pa.list_(pa.int64())), "image": pa.array([image], pa.binary())})
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 128):
-                few = batch.slice(lo, 128)
+            for lo in range(0, batch.num_rows, 512):
+                few = batch.slice(lo, 512)
                 for doc_id, x in zip(few.column(0).to_pylist(), encoder.encode(few.column(1).to_pylist()), strict=True):
                     ids.append(doc_id)
                     data.append(x + end)

@@ -53,21 +53,24 @@ def centred(points: Column, centre: Column) -> Column:
 
 
 def make_hip_centric(pose: Column) -> Column:
-    return centred(pose, hip_centre(pose))
+    return let(hip_centre(pose), lambda centre: centred(pose, centre))
 
 
 def wrist_centric(hand: Column) -> Column:
     """Fingers relative to the wrist; the wrist itself stays."""
-    wrist = F.element_at(hand, 1)
-    return F.transform(hand, lambda p, i: F.when(i == 0, p).otherwise(minus(p, wrist)))
+    return let(F.element_at(hand, 1), lambda wrist: F.transform(hand, lambda p, i: F.when(i == 0, p).otherwise(minus(p, wrist))))
 
 
 def feature_vector(pose: Column, left: Column, right: Column, face: Column, face_points: int = FACE_POINTS) -> Column:
     """One flat array: six pose points and both wrists relative to the hips, fingers relative to their wrist, the face as it is (infinity where it is missing)."""
-    centre = hip_centre(pose)
-    kept = F.filter(centred(pose, centre), lambda p, i: i.isin(*FEATURE_POSE))
     nowhere = F.array_repeat(F.array_repeat(F.lit(float("inf")), 3), face_points)
-    return F.flatten(F.concat(kept, wrist_centric(centred(left, centre)), wrist_centric(centred(right, centre)), F.coalesce(face, nowhere)))
+
+    def of(centre: Column) -> Column:
+        kept = F.filter(centred(pose, centre), lambda p, i: i.isin(*FEATURE_POSE))
+        fingers = lambda hand: let(centred(hand, centre), wrist_centric)
+        return F.flatten(F.concat(kept, fingers(left), fingers(right), F.coalesce(face, nowhere)))
+
+    return let(hip_centre(pose), of)
 
 
 def arm_hand_ratio(elbow: Column, wrist: Column, hand: Column) -> Column:

@@ -1,5 +1,6 @@
 """Exact deduplication, mixing and token blocks, each against a brute-force version."""
 
+import functools
 import random
 import zlib
 from collections import defaultdict
@@ -120,14 +121,19 @@ def test_token_blocks(spark):
     assert read_token_blocks(write_token_blocks(df.limit(0), path)).count() == 0
 
 
-@given(st.lists(st.text(alphabet="aZé.,\n '19-\t  !", max_size=40), max_size=12))
+@functools.cache
+def library_tokenizer(path):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+@given(st.lists(st.text(alphabet="aZé.,\n '19-\t  !", max_size=40), max_size=12))
 @settings(max_examples=300, deadline=None)
 def test_encoder_gives_the_library_its_ids(texts):
-    tokenizers = pytest.importorskip("tokenizers")
-    P = pytest.importorskip("public_tokenizers")
-    path = P.path("byte_bpe_50k.json")
-    encoder = _encoder(path)
-    plain = tokenizers.Tokenizer.from_file(path) if not hasattr(test_encoder_gives_the_library_its_ids, "t") else test_encoder_gives_the_library_its_ids.t
-    test_encoder_gives_the_library_its_ids.t = plain
-    plain.encode_special_tokens = True
-    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    pytest.importorskip("tokenizers")
+    path = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+    want = [e.ids for e in library_tokenizer(path).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in _encoder(path).encode(texts)] == want

@@ -19,14 +19,14 @@ THRESHOLD = 0.8
 BANDS = 20
 ROWS = 4
 COMPONENTS = BANDS * ROWS
-BATCH_WORDS = 1 << 19
-CACHE_WORDS = 1 << 19
+BATCH_WORDS = 1 << 17
+CACHE_WORDS = 1 << 17
 #: Least agreement of two signatures for a pair to be verified: over six standard deviations below a similarity of 0.8.
 LEAST_AGREEMENT = 0.5
 #: Buckets of more nodes than this are compared by blocks instead of pairs.
 SMALL = 32
 BLOCK_NODES = 512
-BLOCK_SHINGLES = 1 << 20
+BLOCK_SHINGLES = 1 << 18
 _P, _A, _B = np.uint64(0x9FB21C651E98DF25), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 

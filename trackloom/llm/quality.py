@@ -42,7 +42,7 @@ class Units(dict):
         at = token.find(core) if core else len(token)
         shape = f"{token[: min(at, 3)]} {kind} {token[at + len(core) :][:3]}"
         word = zlib.crc32(core.lower().encode("utf-8", "replace")) % WORDS
-        if len(self) > 1 << 19:
+        if len(self) > 1 << 17:
             self.clear()
         self[token] = found = word | (zlib.crc32(shape.encode("utf-8", "replace")) % SHAPES) << 14
         return found

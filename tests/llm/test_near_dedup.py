@@ -89,3 +89,32 @@ def test_similarity_matrix():
         for j in range(12):
             if i != j and texts[i] and texts[j]:  # a text is never compared with itself
                 assert abs(got[i, j] - similarity(shingles(texts[i]), shingles(texts[j]))) < 1e-6
+
+
+def test_long_chains_are_one_component(spark):
+    r = random.Random(5)
+    links, want = [], {}
+    for n in (1, 2, 400, 900):
+        nodes = [r.randbytes(16) for _ in range(n + 1)]
+        links += [(a, b) if r.random() < 0.5 else (b, a) for a, b in zip(nodes, nodes[1:], strict=False)]
+        want |= dict.fromkeys(nodes, min(nodes))
+    rising = sorted(r.randbytes(16) for _ in range(500))
+    links += list(zip(rising, rising[1:], strict=False)) + links[:5]
+    want |= dict.fromkeys(rising, rising[0])
+    df = spark.createDataFrame(links, "a binary, b binary")
+    got = N.components(df).collect()
+    assert {bytes(g.node): bytes(g.component) for g in got} == want and len(got) == len(want)
+    assert N.components(df.limit(0)).count() == 0
+    with pytest.raises(RuntimeError):
+        N.components(df, rounds=2)
+
+
+def test_chain_of_revisions_is_one_class(spark):
+    r = random.Random(3)
+    words = [f"w{r.randrange(10**6)}" for _ in range(60 + 4 * 400)]
+    texts = [" ".join(words[4 * i : 4 * i + 60]) for i in range(400)]
+    assert all(similarity(shingles(a), shingles(b)) >= 0.8 for a, b in zip(texts, texts[1:], strict=False))
+    assert similarity(shingles(texts[0]), shingles(texts[2])) < 0.8
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = near_dedup(df).collect()
+    assert {(g.class_id, g.class_size) for g in got} == {(0, 400)} and sum(g.kept for g in got) == 1

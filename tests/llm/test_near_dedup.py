@@ -118,3 +118,15 @@ def test_chain_of_revisions_is_one_class(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = near_dedup(df).collect()
     assert {(g.class_id, g.class_size) for g in got} == {(0, 400)} and sum(g.kept for g in got) == 1
+
+
+def test_one_document_of_each_group_stays(spark):
+    text = "one text that a few rows repeat with the same id"
+    rows = [(3, text, {"k": "v"})] * 4 + [(5, text, None), (7, "a text of its own", None), (7, "another text of that same id", None)]
+    rows += [(None, "only null ids have this text", {"n": str(i)}) for i in range(6)] + [(None, None, None), (None, "", None), (None, text, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, more map<string,string>").repartition(3)
+    got = N.drop_near_copies(df).collect()
+    assert Counter((g.doc_id, g.text or "") for g in got) == Counter([(3, text), (7, "a text of its own"), (7, "another text of that same id"), (None, "only null ids have this text"), (None, "")])
+    assert all(tuple(g) in rows for g in got)
+    unique = N.drop_near_copies(df.where("doc_id = 7"))
+    assert unique.columns == df.columns and unique.count() == 2

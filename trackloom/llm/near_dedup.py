@@ -362,9 +362,22 @@ def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 
 
 def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that stay: of each class the document with the least id. Rows that repeat that id and text stay together."""
-    kept = near_dedup(docs, id_col=id_col, text_col=text_col, threshold=threshold).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("tag").alias("_kept_tag"))
-    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_kept_id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("_kept_tag")), "left_semi")
+    """The rows of ``docs``, with all their columns, that stay: of each class one document, with the least id. Of rows that repeat that id and text one stays, whichever comes first.
+
+    Only rows whose id and text repeat among the kept ones are brought together, and only if there are any.
+    """
+    rows = near_dedup(docs, id_col=id_col, text_col=text_col, threshold=threshold).groupBy(F.col("doc_id").alias("_kept_id"), F.col("tag").alias("_kept_tag"))
+    kept = materialize(rows.agg(F.max("kept").alias("_kept"), F.count("*").alias("_rows")).where("_kept").drop("_kept"), "kept")
+    row_id, row_tag = F.col(id_col).cast("long"), F.xxhash64(text_or_empty(text_col))
+
+    def of(keys: DataFrame) -> DataFrame:
+        return docs.join(keys, row_id.eqNullSafe(F.col("_kept_id")) & (row_tag == F.col("_kept_tag")), "left_semi")
+
+    repeated = kept.where("_rows > 1")
+    if repeated.isEmpty():
+        return of(kept)
+    one = of(repeated).withColumns({"_of_id": row_id, "_of_tag": row_tag}).dropDuplicates(["_of_id", "_of_tag"]).drop("_of_id", "_of_tag")
+    return of(kept.where("_rows = 1")).unionByName(one)
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

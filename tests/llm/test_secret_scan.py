@@ -39,3 +39,11 @@ def test_forest_on_other_findings(spark):
     rest = VectorAssembler(inputCols=[f"f_{k}" for k in S.FEATURES], outputCol="features").transform(S.with_features(rows.where("xxhash64(value, before) % 2 <> 0")))
     right = model.transform(rest).selectExpr("avg(cast(prediction = label as double))").first()[0]
     assert right > 0.97
+
+
+def test_next_candidate_keeps_its_key_and_word_before(spark):
+    a, b = "3f" * 20, "9c4e1" * 4
+    texts = [f"token={a} password={b}", f'api_key = "{a}"\nsecret = "{b}" end', f"see {a} and {b} too"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(tuple(c)[0:1] + tuple(c)[2:] for c in S.candidates(docs, path_col=None).collect())
+    assert got == [(0, 0, "", "token", a, "password"), (0, 1, "", "password", b, ""), (1, 0, "", "api_key", a, "secret"), (1, 1, "", "secret", b, "end"), (2, 0, "see", "", a, "and"), (2, 1, "and", "", b, "too")]

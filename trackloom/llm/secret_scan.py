@@ -12,8 +12,12 @@ from .common import table, text_or_empty
 
 SHORTEST = 12
 RUN = "A-Za-z0-9+/_\\-"
-#: Groups: word before, key, value, word after.
-PATTERN = rf"(?:([\p{{L}}]{{1,20}})[,.;:]?\s+)?(?:([A-Za-z_\-]{{2,30}})[\"']?\s*[=:]\s*[\"']?)?(?<![{RUN}])((?=[A-Za-z+/_\-]*[0-9])[{RUN}]{{{SHORTEST},}}|[A-Z0-9]{{16,}})(?![{RUN}])(?:[\"']?[,.;:]?\s+([\p{{L}}]{{1,20}})\b)?"
+#: Groups: word before, key, value.
+SPAN = rf"(?:([\p{{L}}]{{1,20}})[,.;:]?\s+)?(?:([A-Za-z_\-]{{2,30}})[\"']?\s*[=:]\s*[\"']?)?(?<![{RUN}])((?=[A-Za-z+/_\-]*[0-9])[{RUN}]{{{SHORTEST},}}|[A-Z0-9]{{16,}})(?![{RUN}])"
+#: Group: word after.
+AFTER = r"(?:[\"']?[,.;:]?\s+([\p{L}]{1,20})\b)?"
+#: Groups: word before, key, value, word after. The word after is read but not consumed, as it may be the next candidate's key or word before.
+PATTERN = rf"{SPAN}(?={AFTER})"
 KEYS = r"(?i)(passw(or)?d|pwd|secret|token|api_?key|access_?key|auth|credential|private)"
 DICTIONARY = r"(?i)(example|sample|test|dummy|fake|changeme|change|your|here|password|passwd|secret|token|key|default|insert|placeholder|abcdef|abc|qwerty|1234567890|0123456789|123456|xxx+|000+|admin|user|order|version|release|build|invoice|page|item|file|image|index)"
 TECHNICAL = r"(?i)^(commit|sha|sha1|sha256|md5|checksum|digest|hash|uuid|revision|etag|order|invoice|version|isbn|serial|tracking|card|phone)$"
@@ -26,7 +30,8 @@ def candidates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     """One row per candidate: doc_id, path, ordinal (from 0 in its document), before, key, value, after."""
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), path.alias("path"), text_or_empty(text_col).alias("text"))
-    found = rows.select("doc_id", "path", F.posexplode(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).alias("ordinal", "match"))
+    # Group 1 is a whole match with the word after it; the rest of the pattern consumes the match without that word.
+    found = rows.select("doc_id", "path", F.posexplode(F.regexp_extract_all("text", F.lit(rf"(?=({SPAN}{AFTER})){SPAN}"), F.lit(1))).alias("ordinal", "match"))
     group = lambda i: F.regexp_extract("match", PATTERN, i)
     return found.select("doc_id", "path", "ordinal", group(1).alias("before"), group(2).alias("key"), group(3).alias("value"), group(4).alias("after"))
 

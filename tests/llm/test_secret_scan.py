@@ -47,3 +47,27 @@ def test_next_candidate_keeps_its_key_and_word_before(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = sorted(tuple(c)[0:1] + tuple(c)[2:] for c in S.candidates(docs, path_col=None).collect())
     assert got == [(0, 0, "", "token", a, "password"), (0, 1, "", "password", b, ""), (1, 0, "", "api_key", a, "secret"), (1, 1, "", "secret", b, "end"), (2, 0, "see", "", a, "and"), (2, 1, "and", "", b, "too")]
+
+
+def test_values_behind_clear_keys_are_whole(spark):
+    cases = {
+        'password = "hunter2!x9"': [("password", "hunter2!x9", "")],
+        "password: Tr0ub4dor&3xyzabc123": [("password", "Tr0ub4dor&3xyzabc123", "")],
+        'my token = "abcdefghijklmnopqrstuvwxyz" then': [("token", "abcdefghijklmnopqrstuvwxyz", "then")],
+        "auth_token=eyJhbGciOi1.eyJzdWIiOi2.SflKxwRJ3, too": [("auth_token", "eyJhbGciOi1.eyJzdWIiOi2.SflKxwRJ3", "too")],
+        "{'pwd': 'a b\\'c', \"SECRET\" : \"x\"}": [("pwd", "a b\\'c", ""), ("SECRET", "x", "")],
+        "http://h/?token=ab1&password=cd2 end": [("token", "ab1", ""), ("password", "cd2", "end")],
+        "token=ab;;&secret=cd;; x": [("token", "ab;;", ""), ("secret", "cd;", "x")],
+        "password:\nsecret = s3": [("secret", "s3", "")],
+        'password = "" or passwd="open': [("passwd", "open", "")],
+        "id = short1 name: x.y name = 0123456789ab.cd": [("name", "0123456789ab", "")],
+        "key " + "z" * 50000 + " token=" + "p." * 50000: [("token", "p." * 49999 + "p", "")],
+    }
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {}
+    for c in sorted(S.candidates(docs, path_col=None).collect(), key=lambda c: (c.doc_id, c.ordinal)):
+        got.setdefault(c.doc_id, []).append((c.key, c.value, c.after))
+    for i, (text, want) in enumerate(cases.items()):
+        assert got.get(i) == want, text[:100]
+    verdicts = spark.createDataFrame(list(enumerate(["password = 'hunter2!x9'", "password: Tr0ub4dor&3xyzabc123", "the password: is", "author: Miller"])), "doc_id long, text string")
+    assert [c.secret for c in S.scan_secrets(verdicts, path_col=None).orderBy("doc_id").collect()] == [True, True, False, False]

@@ -91,6 +91,13 @@ def test_landmark_dataset(spark):
     assert landmark_dataset(d, v, Landmarks(moving_threshold=100.0)).count() == 0
 
 
+def test_landmark_dataset_with_more_frames_a_second_than_the_minimum(spark):
+    d = spark.createDataFrame([("s", "v", "1.0", t / 5, 10.0 + t, 10.0, 60.0 + t, 110.0) for t in range(16)], "source string, video string, person_id string, ts double, x1 double, y1 double, x2 double, y2 double")
+    v = spark.createDataFrame([("s", "v", 25.0, 2000)], "source string, video string, fps double, n_frames long")
+    got = landmark_dataset(d, v, Landmarks(fps=25.0, min_clip_duration_frames=4, moving_threshold=0.0)).collect()
+    assert sorted(r.frame_no for r in got) == list(range(75))
+
+
 def stream(spark, tmp_path, rows, schema, plan, name):
     for i, part in enumerate(rows):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / name))

@@ -1,10 +1,12 @@
 """From detections to a landmark dataset.
 
-detections -> clips -> frame grid -> box of the moment -> pose -> parts -> verdict -> kept frames. Everything up to the verdict is keyed by track, and the pose model runs in two phases: on the first frames of every clip, which suffice to tell still clips, then on the rest of the clips that are not still.
+detections -> clips -> frame grid -> box of the moment -> pose -> parts -> verdict -> kept frames. Everything up to the verdict is keyed by track, and the pose model runs in two phases: on the first frames of every clip, which suffice to tell still clips and those under a second, then on the rest of the clips that are not still.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +39,7 @@ def landmark_dataset(detections: DataFrame, videos: DataFrame, options: Landmark
     decode = decode or (lambda rows: rows.withColumn("data", F.lit(None).cast("binary")))
     _, grid = clip_frames(detections, videos, options)
     m = max(1, options.min_clip_duration_frames)
-    first = with_parts(estimate_poses(decode(motion.prefix_frames(grid, CLIP, m)), pose)).persist()
+    first = with_parts(estimate_poses(decode(motion.prefix_frames(grid, CLIP, max(m, math.ceil(options.fps) - 1))), pose)).persist()
     judged = motion.verdicts(motion.frame_changes(first, CLIP, "frame_no"), CLIP, options.fps, m, options.moving_threshold)
     keep = judged.where("keep").select(*CLIP)
     rest = grid.join(keep, [*CLIP], "left_semi").join(first.select(*CLIP, "frame_no"), [*CLIP, "frame_no"], "left_anti")

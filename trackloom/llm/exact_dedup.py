@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_partitions, table, text_or_empty
+from .common import materialize, shuffle_partitions, table, text_or_empty, tidy
 
 FINGERPRINT_BITS = 48
 BLOCK_ROWS = 1 << 18
@@ -138,13 +138,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    blocks = materialize(base.select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest")).mapInArrow(_blocks(block_rows), "block long, n long, ids array<long>, digests binary"), "blocks")
+    blocks = materialize(base.select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest")).mapInArrow(tidy(_blocks(block_rows)), "block long, n long, ids array<long>, digests binary"), "blocks")
     total = blocks.agg(F.sum("n")).first()[0] or 0
     owners = owners or max(shuffle_partitions(spark), -(-total // OWNER_FINGERPRINTS))
-    sent = blocks.select("block", "digests").mapInArrow(_send(owners, fp_bits), "owner int, block long, n int, k int, data binary")
+    sent = blocks.select("block", "digests").mapInArrow(tidy(_send(owners, fp_bits)), "owner int, block long, n int, k int, data binary")
     answers = sent.groupBy("owner").applyInArrow(_answer(owners, fp_bits), "block long, owner int, bitmap binary")
     answers = answers.groupBy("block").agg(F.collect_list(F.struct("owner", "bitmap")).alias("answers"))
-    marked = materialize(blocks.join(answers, "block").select("block", "ids", "digests", "answers").mapInArrow(_mark(owners, fp_bits), "row long, doc_id long, digest binary, suspect boolean"), "marked")
+    marked = materialize(blocks.join(answers, "block").select("block", "ids", "digests", "answers").mapInArrow(tidy(_mark(owners, fp_bits)), "row long, doc_id long, digest binary, suspect boolean"), "marked")
 
     suspects = marked.where("suspect")
     # Semi join without a hint: broadcast only where Spark has measured the suspect ids as small, else by a shuffle on the id.

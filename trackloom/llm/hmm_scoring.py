@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_of, materialize, table, text_or_empty
+from .common import add_up, bucket_of, discard, materialize, share, table, text_or_empty, tidy
 
 STATES = 8
 HEAD = 1 << 16
@@ -243,16 +243,6 @@ def _learn(shared):
     return run
 
 
-def _add(batches):
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for i, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            x = np.frombuffer(data)
-            sums[i] = sums[i] + x if i in sums else x
-    if sums:
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["part", "sums"])
-
-
 def _score(shared):
     def run(batches):
         model, tail_log, heads = shared.value
@@ -269,7 +259,7 @@ def _score(shared):
 
 def count_words(texts: DataFrame) -> DataFrame:
     """(word, tail, c) of every token of ``texts``; the end token is the empty word."""
-    parts = texts.mapInArrow(_count, "word binary, tail int, n long")
+    parts = texts.mapInArrow(tidy(_count), "word binary, tail int, n long")
     return materialize(parts.groupBy("word", "tail").agg(F.sum("n").alias("c")), "vocabulary")
 
 
@@ -290,14 +280,14 @@ def fit(encoded: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> Model:
     spark, model = encoded.sparkSession, Model.first(v)
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(model)
-        sums = encoded.select("symbols").mapInArrow(_learn(shared), "part int, sums binary").repartition(16, "part").mapInArrow(_add, "part int, sums binary").collect()
+        sums = add_up(encoded.select("symbols").mapInArrow(tidy(_learn(shared)), "part int, sums binary")).collect()
         got = {i: np.frombuffer(x) for i, x in sums}
         if not got:
             break
         s = len(model.start)
         emit = np.concatenate([got[i] for i in range(-(-v.symbols // CHUNK))]).reshape(-1, s)
         model = Model.of_counts(got[-1][:s], got[-1][s:].reshape(s, s), emit, v)
-        shared.unpersist()
+        shared.destroy()
     return model
 
 
@@ -317,10 +307,10 @@ def hmm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     tail = {i: (n, k) for i, n, k in rest.groupBy("tail").agg(F.sum("c"), F.count("*")).collect()}
     v = Vocabulary(top, tail, total, distinct)
 
-    encoded = materialize(base.mapInArrow(_encode(spark.sparkContext.broadcast(v)), ENCODED).withColumn("row", F.monotonically_increasing_id()), "encoded")
+    encoded = materialize(base.mapInArrow(tidy(_encode(share(spark, v))), ENCODED).withColumn("row", F.monotonically_increasing_id()), "encoded")
     model = fit(encoded.where(train), v, rounds)
-    shared = spark.sparkContext.broadcast((model, v.tail_log, len(v.words)))
-    scored = encoded.select("row", "doc_id", "n_tokens", "head_known", "head_log", "symbols").mapInArrow(_score(shared), "row long, doc_id long, n_tokens long, head_known long, head_log double, part_score double")
+    shared = share(spark, (model, v.tail_log, len(v.words)))
+    scored = encoded.select("row", "doc_id", "n_tokens", "head_known", "head_log", "symbols").mapInArrow(tidy(_score(shared)), "row long, doc_id long, n_tokens long, head_known long, head_log double, part_score double")
     rare = encoded.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.times")
     rare = rare.join(rest.select("word", "c"), "word").groupBy("row").agg(F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("rare_log"))
     out = scored.join(rare, "row", "left")

@@ -112,12 +112,17 @@ def take_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float =
     """
     key = lambda i, tag, source: F.xxhash64(i, tag, F.coalesce(source, F.lit("")), source.isNull())
     mix = mix_sources(docs, weights, cap, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    mix = mix.groupBy(key(F.col("doc_id"), F.col("tag"), F.col("source")).alias("_mix_key")).agg(F.sum("copies").cast("int").alias("_mix_copies"), F.count("*").alias("_mix_rows"))
-    keyed = docs.withColumn("_mix_key", key(F.col(id_col).cast("long"), F.xxhash64(text_or_empty(text_col)), F.col(source_col).cast("string")))
-    joined = keyed.join(mix, "_mix_key")
-    rank = F.row_number().over(Window.partitionBy("_mix_key").orderBy(F.lit(1)))
-    copies = F.floor(F.col("_mix_copies") / F.col("_mix_rows")) + (rank <= F.col("_mix_copies") % F.col("_mix_rows")).cast("int")
-    return joined.withColumn("_mix_n", copies.cast("int")).where("_mix_n > 0").withColumn("_mix_n", F.explode(F.sequence(F.lit(1), F.col("_mix_n")))).select(*(F.col(f"`{c}`") for c in docs.columns))
+    mix = mix.groupBy(key(F.col("doc_id"), F.col("tag"), F.col("source")).alias("key")).agg(F.sum("copies").cast("int").alias("copies"), F.count("*").alias("n"))
+    # By position, as the caller's columns may have any names.
+    names = docs.columns
+    at = lambda name: F.col(f"c{names.index(name)}")
+    keyed = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    keyed = keyed.withColumn("key", key(at(id_col).cast("long"), F.xxhash64(text_or_empty(f"c{names.index(text_col)}")), at(source_col).cast("string")))
+    joined = keyed.join(mix, "key")
+    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.lit(1)))
+    own = F.floor(F.col("copies") / F.col("n")) + (rank <= F.col("copies") % F.col("n")).cast("int")
+    taken = joined.withColumn("own", own.cast("int")).where("own > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("own"))))
+    return taken.select(*(f"c{i}" for i in range(len(names)))).toDF(*names)
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

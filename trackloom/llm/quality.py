@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bucket_of, table, text_or_empty
+from .common import add_up, bucket_of, share, table, text_or_empty, tidy
 
 WORDS = 1 << 14
 SHAPES = 1 << 10
@@ -96,21 +96,12 @@ def _contexts(batches):
                 for j in range(NONZERO):
                     total += np.bincount(own * DIMS + dims[other, j], signs[other, j], UNITS * DIMS)
     rows = total.reshape(-1, ROWS * DIMS)
-    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows)), pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())], ["rows", "sums"])
-
-
-def _add(batches):
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for i, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            sums[i] = sums.get(i, 0.0) + np.frombuffer(data)
-    if sums:
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["rows", "sums"])
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows)), pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())], ["part", "sums"])
 
 
 def unit_vectors(texts: DataFrame) -> np.ndarray:
     """Normalised random-indexing vectors (units x DIMS) of all rows of ``texts``; what reaches the driver has a fixed size."""
-    parts = texts.mapInArrow(_contexts, "rows int, sums binary").repartition(16, "rows").mapInArrow(_add, "rows int, sums binary")
+    parts = add_up(texts.mapInArrow(tidy(_contexts), "part int, sums binary"))
     out = np.zeros((UNITS * DIMS // (ROWS * DIMS), ROWS * DIMS))
     for i, data in parts.collect():
         out[i] += np.frombuffer(data)
@@ -182,8 +173,8 @@ def fit_quality(texts: DataFrame, labels: DataFrame, vectors: np.ndarray, *, lab
     """The network, from at most ``sample`` labelled rows outside the held-out fold; rows with a null label do not count."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where((F.col("label").isNotNull()) & F.col("doc_id").isNotNull() & (bucket_of("doc_id", folds) != fold))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
-    shared = texts.sparkSession.sparkContext.broadcast(vectors)
-    rows = texts.join(F.broadcast(known), "doc_id").select("doc_id", "label", "text").mapInArrow(_features(shared), "doc_id long, label int, features binary").select("doc_id", "features", "label").collect()
+    shared = share(texts.sparkSession, vectors)
+    rows = texts.join(F.broadcast(known), "doc_id").select("doc_id", "label", "text").mapInArrow(tidy(_features(shared)), "doc_id long, label int, features binary").select("doc_id", "features", "label").collect()
     rows.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), r[2], bytes(r[1])))
     x = np.array([np.frombuffer(r[1], np.float32) for r in rows]).reshape(len(rows), FEATURES)
     y = np.array([float(r[2] > 0) for r in rows])
@@ -225,11 +216,11 @@ def _score(shared, text: int):
 
 
 def _scored(docs: DataFrame, vectors: np.ndarray, network: Network, text_col: str) -> DataFrame:
-    """All columns of ``docs`` and the column SCORE."""
-    shared, names = docs.sparkSession.sparkContext.broadcast((vectors, network)), docs.columns
+    """All columns of ``docs`` by position (c0, c1, ...), as they may have any names, and the column ``SCORE``."""
+    shared, names = share(docs.sparkSession, (vectors, network)), docs.columns
     inner = docs.toDF(*(f"c{i}" for i in range(len(names)))).withColumn(f"c{len(names)}", text_or_empty(f"c{names.index(text_col)}"))
-    out = inner.mapInArrow(_score(shared, len(names)), T.StructType([*inner.schema.fields, T.StructField(SCORE, T.DoubleType())]))
-    return out.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)), SCORE)
+    out = inner.mapInArrow(tidy(_score(shared, len(names))), T.StructType([*inner.schema.fields, T.StructField(SCORE, T.DoubleType())]))
+    return out.drop(f"c{len(names)}")
 
 
 def _fitted(docs: DataFrame, labels: DataFrame, text_col: str, id_col: str, **options) -> tuple[np.ndarray, Network]:
@@ -241,7 +232,7 @@ def _fitted(docs: DataFrame, labels: DataFrame, text_col: str, id_col: str, **op
 def quality_filter(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, **options) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose score reaches ``threshold``; documents are not shuffled."""
     vectors, network = _fitted(docs, labels, text_col, id_col, **options)
-    return _scored(docs, vectors, network, text_col).where(F.col(SCORE) >= threshold).drop(SCORE)
+    return _scored(docs, vectors, network, text_col).where(F.col(SCORE) >= threshold).drop(SCORE).toDF(*docs.columns)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, folds: int = FOLDS, fold: int = 0, threshold: float = THRESHOLD) -> DataFrame:
@@ -251,7 +242,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     vectors, network = _fitted(base, labels, "text", "doc_id", sample=sample, folds=folds, fold=fold)
-    scored = _scored(base, vectors, network, "text").select("doc_id", F.col(SCORE).alias("score"))
+    scored = _scored(base, vectors, network, "text").select(F.col("c0").alias("doc_id"), F.col(SCORE).alias("score"))
     return scored.select("doc_id", (bucket_of("doc_id", folds) == fold).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 

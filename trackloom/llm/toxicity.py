@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bucket_of, materialize, table, text_or_empty
+from .common import add_up, bucket_of, materialize, share, table, text_or_empty, tidy
 
 WINDOW = 32
 STRIDE = 16
@@ -29,6 +29,7 @@ FOLD = 2
 THRESHOLD = 0.3
 PRIOR = 10.0
 CHUNK_WORDS = 1 << 17
+PART = 1 << 13  # numbers a message carries when tables are added
 CACHE_WORDS = 1 << 18
 WINDOWS_AT_ONCE = 2048
 EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
@@ -211,7 +212,7 @@ def _chunks(texts: list[str]):
 
 
 def _count(batches):
-    """Texts of each class that hold each bucket, as one row of four tables."""
+    """Texts of each class that hold each bucket, as parts of one flat table: texts, words, grams (2 x buckets each)."""
     word, gram, texts_of = np.zeros((2, WORD_BUCKETS), np.int32), np.zeros((2, GRAM_BUCKETS), np.int32), np.zeros(2, np.int64)
     for batch in batches:
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -221,17 +222,9 @@ def _count(batches):
                 word[label, np.unique(w)] += 1
                 gram[label, np.unique(g)] += 1
     if texts_of.any():
-        yield pa.RecordBatch.from_pydict({"words": [word.tobytes()], "grams": [gram.tobytes()], "texts": [texts_of.tobytes()]})
-
-
-def _sum_counts(batches):
-    sums: list = []
-    for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            read = [np.frombuffer(x, t).astype(t) for x, t in zip(row, (np.int32, np.int32, np.int64), strict=True)]
-            sums = [a + b for a, b in zip(sums, read, strict=True)] if sums else read
-    if sums:
-        yield pa.RecordBatch.from_pydict({k: [x.tobytes()] for k, x in zip(("words", "grams", "texts"), sums, strict=True)})
+        flat = np.concatenate((texts_of, word.ravel(), gram.ravel())).astype(np.float64)
+        parts = [flat[lo : lo + PART] for lo in range(0, len(flat), PART)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts)), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], ["part", "sums"])
 
 
 def _odds(counts: np.ndarray, texts: np.ndarray, without: int | None = None) -> np.ndarray:
@@ -281,19 +274,20 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic"
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id")
     known = known.where("label = 1").limit(sample).union(known.where("label = 0").limit(sample))
     texts = materialize(docs.join(F.broadcast(known), "doc_id").select("text", "label"), "sample")
-    counts = texts.mapInArrow(_count, "words binary, grams binary, texts binary").repartition(1).mapInArrow(_sum_counts, "words binary, grams binary, texts binary").first()
-    n = np.frombuffer(counts[2], np.int64) if counts else np.zeros(2, np.int64)
+    parts = sorted((i, x) for i, x in add_up(texts.mapInArrow(tidy(_count), "part int, sums binary")).collect())
+    flat = np.frombuffer(b"".join(bytes(x) for _, x in parts)) if parts else np.zeros(2)
+    n = flat[:2].astype(np.int64)
     network = Network()
     if not n.all():
         network.p["o"][:] = 0
         network.p["c"][0] = np.log((n[1] + 1) / (n[0] + 1))
         return (np.zeros(WORD_BUCKETS, np.float32), np.zeros(GRAM_BUCKETS, np.float32)), network, False
-    word, gram = (np.frombuffer(x, np.int32).reshape(2, -1) for x in counts[:2])
+    word, gram = flat[2 : 2 + 2 * WORD_BUCKETS].reshape(2, -1), flat[2 + 2 * WORD_BUCKETS :].reshape(2, -1)
     tables = _odds(word, n), _odds(gram, n)
-    shared = spark.sparkContext.broadcast([(_odds(word, n, label), _odds(gram, n, label)) for label in (0, 1)])
+    shared = share(spark, [(_odds(word, n, label), _odds(gram, n, label)) for label in (0, 1)])
     seen: list = []
     for turn in range(3):
-        rows = texts.mapInArrow(_pick(shared, network if turn else None), "label int, inputs binary").collect()
+        rows = texts.mapInArrow(tidy(_pick(shared, network if turn else None)), "label int, inputs binary").collect()
         rows.sort(key=lambda r: (r[0], bytes(r[1])))
         x = np.frombuffer(b"".join(r[1] for r in rows), np.float32).reshape(-1, WINDOW, INPUTS)
         y = np.array([float(r[0]) for r in rows])
@@ -330,7 +324,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     tables, network, _ = fit_toxicity(base, labels, sample=sample, folds=folds, fold=fold)
-    scored = base.mapInArrow(_score(spark.sparkContext.broadcast((tables, network))), "doc_id long, score double, n_windows long")
+    scored = base.mapInArrow(tidy(_score(share(spark, (tables, network)))), "doc_id long, score double, n_windows long")
     return scored.select("doc_id", (bucket_of("doc_id", folds) == fold).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "n_windows")
 
 

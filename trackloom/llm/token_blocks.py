@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_partitions, table, text_or_empty
+from .common import materialize, shuffle_partitions, table, text_or_empty, tidy
 
 BLOCK = 256
 PERCENTILE = 0.95
@@ -142,18 +142,23 @@ def decode_shard(image: bytes) -> np.ndarray:
 class Encoder:
     """Ids of whole texts by the tokenizers library.
 
-    The tokenizer's pre-tokenizer always cuts before a single space between two non-blank characters, and between a letter and the full stops or commas after it, so pieces between such cuts can be encoded apart without changing any id. Pieces met before are looked up; new ones are encoded joined, and the ids cut where the pieces end. Pieces are kept in two generations of at most about ``CACHE_PIECES``: when the young one is full it becomes the old one, and what is used again moves on.
+    The tokenizer's pre-tokenizer always cuts before a single space or line break between two non-blank characters, and between a letter and the signs after it that end the piece, so pieces between such cuts can be encoded apart without changing any id. Pieces met before are looked up; new ones are encoded joined, and the ids cut where the pieces end. Pieces are kept in two generations of at most about ``CACHE_PIECES``: when the young one is full it becomes the old one, and what is used again moves on.
     """
 
     SAFE = re.compile(r"(?<=\S) (?=\S)")
     #: Where none of these occurs, white space is single spaces and line breaks, and no two of them touch at a space.
     ODD = ("  ", " \n", "\n ", *(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"))
 
+    SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+    #: What a piece after a line break begins with.
+    LINE = "\0\n"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Strings that the library takes as one token wherever they occur; a text that holds one is not cut.
+        self.marks = ("\0", *(t.content for t in self.tokenizer.get_added_tokens_decoder().values()))
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         # Bytes that each id stands for: a byte-level token has one character a byte.
@@ -165,15 +170,15 @@ class Encoder:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, missing: list[str]) -> None:
-        """Puts the pieces, each of which follows a single space, among the young ones."""
-        known, old, joined, tails = self.young, self.old, [], []
+        """Puts the pieces, each of which follows a single space or begins with ``LINE``, among the young ones."""
+        known, old, joined, lines, tails = self.young, self.old, [], [], []
         for p in missing:
             if (found := old.get(p)) is not None:
                 known[p] = found
             elif p in known:
                 continue
             elif p and not p[0].isspace() and not p[-1].isspace():
-                base = p.rstrip(".,")
+                base = p.rstrip(self.SIGNS)
                 if len(base) < len(p) and base[-1:].isalpha():
                     tails.append((p, base))
                     if base in known:
@@ -184,18 +189,19 @@ class Encoder:
                 else:
                     base = p
                 known[base] = b""
-                joined.append(base)
+                (lines if base[0] == "\0" else joined).append(base)
             else:
-                known[p] = self._ids(" " + p).tobytes()
-        for lo in range(0, len(joined), 4096):
-            few = joined[lo : lo + 4096]
-            text = " " + " ".join(few)
-            ids = self._ids(text)
-            ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(p.encode()) + 1 for p in few])) + 1
-            raw, at = ids.tobytes(), 0
-            for p, end in zip(few, (4 * ends).tolist(), strict=True):
-                known[p] = raw[at:end]
-                at = end
+                known[p] = self._ids("\n" if p == self.LINE else " " + p).tobytes()
+        for new, space, skip in ((joined, " ", 0), (lines, "\n", len(self.LINE))):
+            for lo in range(0, len(new), 4096):
+                few = new[lo : lo + 4096]
+                bare = [p[skip:] for p in few] if skip else few
+                ids = self._ids(space + space.join(bare))
+                ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(p.encode()) + 1 for p in bare])) + 1
+                raw, at = ids.tobytes(), 0
+                for p, end in zip(few, (4 * ends).tolist(), strict=True):
+                    known[p] = raw[at:end]
+                    at = end
         for p, base in tails:
             tail = "\0" + p[len(base) :]
             if tail not in known:
@@ -206,13 +212,19 @@ class Encoder:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         firsts, cut, rows, holes, get = [], [], [], [], self.young.get
         for text in texts:
-            plain = not any(x in text for x in self.ODD)
-            first, *pieces = text.split(" ") if plain else self.SAFE.split(text)
+            if any(x in text for x in self.marks):
+                first, pieces = text, []
+            elif any(x in text for x in self.ODD):
+                first, *pieces = self.SAFE.split(text)
+            elif "\n\n" in text:
+                first, *pieces = text.split(" ")
+            else:
+                first, *pieces = text.replace("\n", " \0\n").split(" ")
             ids = list(map(get, pieces))
             firsts.append(first)
             cut.append(pieces)
             rows.append(ids)
-            holes.append([k for k, x in enumerate(ids) if x is None])
+            holes.append([k for k, x in enumerate(ids) if x is None] if None in ids else ())
         self._learn(list(dict.fromkeys([pieces[k] for pieces, at in zip(cut, holes, strict=True) for k in at])))
         known = self.young
         for pieces, ids, at in zip(cut, rows, holes, strict=True):
@@ -271,7 +283,7 @@ def write_token_blocks(docs: DataFrame, tokenizer_path: str, *, id_col: str = "d
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn("tie", F.xxhash64("text"))
     dealt = base.repartitionByRange(partitions or shuffle_partitions(spark), "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    rows = dealt.select("doc_id", "text").mapInArrow(_shards(tokenizer_path, end_id, shard_ids), SHARD)
+    rows = dealt.select("doc_id", "text").mapInArrow(tidy(_shards(tokenizer_path, end_id, shard_ids)), SHARD)
     if path is None:
         return materialize(rows, "shards")
     rows.write.parquet(path)
@@ -297,7 +309,7 @@ def read_token_blocks(shards: DataFrame) -> DataFrame:
     before = Window.orderBy("of_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("of_part", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("part_start"))
     rows = shards.join(F.broadcast(parts), F.col("part") == F.col("of_part")).select((F.col("part_start") + F.col("offset")).alias("start"), "doc_ids", "lengths", "image")
-    return rows.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return rows.mapInArrow(tidy(_read), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op3_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:

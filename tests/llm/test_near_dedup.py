@@ -35,7 +35,7 @@ def test_signatures_are_unbiased():
     assert abs((s[0] == s[1]).mean() - 0.5) < 0.04
 
 
-@pytest.mark.parametrize("limits", [{}, {"SMALL": 2, "BLOCK_NODES": 4}])
+@pytest.mark.parametrize("limits", [{}, {"BLOCK_SIGNATURES": 5, "BLOCK_NODES": 3}])
 def test_classes(spark, limits, monkeypatch):
     for k, v in limits.items():
         monkeypatch.setattr(N, k, v)

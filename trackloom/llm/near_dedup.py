@@ -2,17 +2,17 @@
 
 A document is the multiset of its ``SHINGLE``-word shingles (lower-cased, words between white space; a shorter text is one shingle of all its words). Per shingle of weight w, independent Poisson processes run on the dyadic weight intervals (0, 1], (1, 2], (2, 4], ... up to w; their points fall on a component, a weight and a time at random, and points above w are thinned out. A component keeps its first point. Two documents share it with a probability of their weighted Jaccard similarity, so the signature is unbiased, and a shingle costs one hash unless its first arrival comes early enough to matter.
 
-Documents with the same multiset are one node. Nodes that agree in a band of ``ROWS`` components share a bucket. No bucket is expanded into pairs: each of its nodes is verified against one centre, links are closed to components, and only nodes of a bucket that are then still in different components meet again: by pairs in buckets of at most ``SMALL`` nodes, else by blocks of a group (see ``_large_groups``), where a task compares two blocks exactly and returns at most a spanning set of links. A pair is linked when the overlap of the two multisets is at least ``THRESHOLD`` of their union; signatures only choose what is verified.
+Documents with the same multiset are one node. Nodes that agree in a band of ``ROWS`` components share a bucket, and a pair that shares one is linked when the overlap of the two multisets is at least ``THRESHOLD`` of their union. No bucket is expanded into pairs: see ``_classes``. Signatures only choose what is verified.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, table, text_or_empty
+from .common import by_group, discard, materialize, table, text_or_empty, tidy
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -23,9 +23,14 @@ BATCH_WORDS = 1 << 17
 CACHE_WORDS = 1 << 17
 #: Least agreement of two signatures for a pair to be verified: over six standard deviations below a similarity of 0.8.
 LEAST_AGREEMENT = 0.5
-#: Buckets of more nodes than this are compared by blocks instead of pairs.
-SMALL = 32
+#: Most rounds in which nodes meet the most similar ones, before what is open is compared whole.
+ROUNDS = 4
+#: Bounds of a task that compares nodes of a bucket: signatures, or texts and their shingles, on each of its two sides.
+BLOCK_SIGNATURES = 4096
 BLOCK_NODES = 512
+#: What a row does in such a task.
+ASKS, ASKED = 1, 2
+TASK = ["band", "p", "t"]
 BLOCK_SHINGLES = 1 << 18
 _P, _A, _B = np.uint64(0x9FB21C651E98DF25), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -98,7 +103,7 @@ def signatures(values: np.ndarray, counts: np.ndarray, cuts: np.ndarray, m: int
     k, rest = 0, np.flatnonzero(counts > 1)
     while len(rest):
         owner.append(doc[rest])
-        seed.append(values[rest] + _A * np.uint64(k + 2))
+        seed.append(values[rest] + _A * np.full(1, k + 2, np.uint64))
         low.append(np.full(len(rest), 2.0**k))
         weight.append(counts[rest])
         k += 1
@@ -115,12 +120,12 @@ def signatures(values: np.ndarray, counts: np.ndarray, cuts: np.ndarray, m: int
         when, step, keys, times, points = first[live], 1, [], [], []
         while len(live):
             s = seed[live]
-            point = _mix(s + _A * np.uint64(2 * step))
+            point = _mix(s + _A * np.full(1, 2 * step, np.uint64))
             ok = low[live] + length[live] * _unit(_mix(point + _B)) <= weight[live]
             keys.append((owner[live] * m + (point % np.uint64(m)).astype(np.int64))[ok])
             times.append(when[ok])
             points.append(point[ok])
-            when = when - np.log(_unit(_mix(s + _A * np.uint64(2 * step + 1)))) / rate[live]
+            when = when - np.log(_unit(_mix(s + _A * np.full(1, 2 * step + 1, np.uint64)))) / rate[live]
             more = when <= horizon[owner[live]]
             live, when, step = live[more], when[more], step + 1
         if keys:
@@ -205,7 +210,7 @@ def _links(pairs: DataFrame, nodes: DataFrame, base: DataFrame, threshold: float
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    out = materialize(rows.mapInArrow(_verify(threshold), "a binary, b binary, similarity double").select("a", "b"), "links")
+    out = materialize(rows.mapInArrow(tidy(_verify(threshold)), "a binary, b binary, similarity double").select("a", "b"), "links")
     discard(texts)
     return out
 
@@ -229,6 +234,17 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"links are not closed to components after {rounds} rounds")
 
 
+def _merged(names: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, component) after ``links`` between nodes have joined components of ``names``; only the components that links touch are closed again."""
+    if names is None:
+        return materialize(components(links), "names")
+    of = lambda end: names.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    joined = components(between)
+    renamed = names.join(joined.select(F.col("node").alias("component"), F.col("component").alias("now")), "component", "left").select("node", F.coalesce("now", "component").alias("component"))
+    return materialize(renamed.unionByName(joined.join(names.select("node"), "node", "left_anti")), "names")
+
+
 def _agreement(least: float):
     def run(batches):
         for batch in batches:
@@ -245,14 +261,79 @@ def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return materialize(pairs.select("a", "b", "sa", "sb").mapInArrow(_agreement(LEAST_AGREEMENT), "a binary, b binary"), "pairs")
 
 
-def _open_pairs(small: DataFrame, names: DataFrame) -> DataFrame:
-    """Pairs that the centres left open in buckets of at most ``SMALL`` nodes: nodes in different components, neither the centre."""
-    named = small.join(names, "node", "left").where("node <> centre").select("band", "node", F.coalesce("component", "node").alias("component"))
-    parts = named.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("band")
-    open_ = materialize(named.join(parts, "band", "left_semi"), "open")
-    x = open_.select("band", F.col("node").alias("a"), F.col("component").alias("ca"))
-    y = open_.select("band", F.col("node").alias("b"), F.col("component").alias("cb"))
-    return x.join(y, "band").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b"))).select("a", "b").distinct()
+def _open(shared: DataFrame, names: DataFrame) -> DataFrame:
+    """(band, node, component, probe) of the buckets that hold several components. Every pair of different components has a node outside the bucket's largest component: those are the probes."""
+    named = shared.join(names, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
+    sizes = named.groupBy("band", "component").agg(F.count("*").alias("n")).groupBy("band").agg(F.max(F.struct("n", "component")).alias("largest"), F.count("*").alias("components")).where("components > 1")
+    return materialize(named.join(sizes, "band").select("band", "node", "component", (F.col("component") != F.col("largest.component")).alias("probe")), "open")
+
+
+def _dealt(rows: DataFrame, weight: Column, block: int) -> DataFrame:
+    """Rows (band, probe, ...) laid out for tasks (band, p, t) of bounded size, in which the ``p``-th block of a bucket's probes asks the ``t``-th block of all its nodes; ``role`` tells which a row does.
+
+    ``weight`` is a row's share of ``block``. A bucket that fits one block, as nearly all do, is one task and gets each row once.
+    """
+    blocks = rows.groupBy("band").agg(F.ceil(F.sum(weight) / block).cast("int").alias("ts"), F.greatest(F.lit(1), F.ceil(F.sum(F.when(F.col("probe"), weight)) / block)).cast("int").alias("ps"))
+    h = F.xxhash64("band", "node")
+    at = lambda n: F.pmod(h, F.col(n)).cast("int")
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    spot = lambda p, t, role: F.struct(p.alias("p"), t.alias("t"), F.lit(role).alias("role"))
+    asked, asks = F.transform(every("ps"), lambda p: spot(p, at("ts"), ASKED)), F.transform(every("ts"), lambda t: spot(at("ps"), t, ASKS))
+    alone = (F.col("ps") == 1) & (F.col("ts") == 1)
+    spots = F.when(~F.col("probe"), asked).when(alone, F.array(spot(F.lit(0), F.lit(0), ASKS | ASKED))).otherwise(F.concat(asked, asks))
+    kept = [c for c in rows.columns if c != "probe"]
+    return rows.join(blocks, "band").withColumn("spot", F.explode(spots)).select(*kept, "spot.p", "spot.t", "spot.role")
+
+
+def _codes(column) -> np.ndarray:
+    """A number for each distinct value."""
+    return column.combine_chunks().dictionary_encode().indices.to_numpy()
+
+
+def _roles(rows) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the rows that ask, and of those that are asked."""
+    role = rows.column("role").to_numpy()
+    return np.flatnonzero(role & ASKS), np.flatnonzero(role & ASKED)
+
+
+def _meet(rows):
+    """Of a task's rows: numbers of those that ask and of those asked, a component code of each row, and the agreement of the signatures (asking x asked), 0 inside a component."""
+    ask, other = _roles(rows)
+    code, sig = _codes(rows.column("component")), np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(-1, COMPONENTS)
+    if len(ask) * len(other) <= 1 << 10:
+        agree = (sig[ask][:, None] == sig[other]).sum(axis=2, dtype=np.uint8)
+    else:  # a component at a time, so that no array is larger than the pairs
+        right, agree = np.ascontiguousarray(sig[other].T), np.zeros((len(ask), len(other)), np.uint8)
+        for c, left in enumerate(sig[ask].T):
+            agree += left[:, None] == right[c]
+    agree[code[ask][:, None] == code[other]] = 0
+    return ask, other, code, agree
+
+
+def _best(key, rows):
+    """For each asking node the node of another component whose signature agrees most, if it is plausible."""
+    ask, other, _, agree = _meet(rows)
+    if not len(other):
+        return pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary()), "agree": pa.array([], pa.int32())})
+    best = agree.argmax(axis=1)
+    most = agree[np.arange(len(ask)), best]
+    good, node = most >= LEAST_AGREEMENT * COMPONENTS, rows.column("node")
+    return pa.table({"a": node.take(pa.array(ask[good])), "b": node.take(pa.array(other[best[good]])), "agree": pa.array(most[good].astype(np.int32))})
+
+
+def _suspects(key, rows):
+    """The nodes of pairs that are plausible, of different components, and share no earlier band."""
+    band = key[0]
+    ask, other, _, agree = _meet(rows)
+    bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    found = np.zeros(rows.num_rows, bool)
+    for lo in range(0, len(ask), 16):
+        x, y = np.nonzero(agree[lo : lo + 16] >= LEAST_AGREEMENT * COMPONENTS)
+        a, b = ask[lo + x], other[y]
+        first = (bands[a] == bands[b]).argmax(axis=1)
+        here = bands[a, first] == band
+        found[a[here]] = found[b[here]] = True
+    return rows.select(["band", "node"]).filter(pa.array(found))
 
 
 def _similarities(values: np.ndarray, counts: np.ndarray, cuts: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -267,7 +348,7 @@ def _similarities(values: np.ndarray, counts: np.ndarray, cuts: np.ndarray, left
     column, text = number[column[keep]], text[keep]
     order = np.argsort(column, kind="stable")
     column, text = column[order], text[order]
-    both = np.zeros((len(left), len(right)), np.float32)
+    both = np.zeros((len(left), len(right)))  # sums of whole numbers, so exact
     last = int(column[-1]) + 1 if len(column) else 0
     for lo in range(0, last, 4096):
         at = slice(*np.searchsorted(column, (lo, lo + 4096)))
@@ -278,56 +359,71 @@ def _similarities(values: np.ndarray, counts: np.ndarray, cuts: np.ndarray, left
 
 
 def _compare(threshold: float):
-    """Links between components inside a pair of blocks of a large group, at most one fewer than the components it holds."""
+    """Links between components among a task's rows, by their whole texts; at most one fewer than the components it holds."""
 
     def run(key, rows):
-        i, j = key[1].as_py(), key[2].as_py()
-        rows = rows.sort_by("node")
-        nodes, names, block = (rows.column(c).to_pylist() for c in ("node", "component", "block"))
-        values, counts, cuts = multisets(rows.column("text").to_pylist(), Words())
-        block = np.array(block)
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        _, code = np.unique(np.array(names, dtype=object), return_inverse=True)
-        near = (_similarities(values, counts, cuts, left, right) >= threshold - 1e-6) & (code[left][:, None] != code[right][None, :])
-        x, y = np.nonzero(near)
-        _, first = np.unique(np.stack((code[left[x]], code[right[y]])), axis=1, return_index=True) if len(x) else (None, np.empty(0, int))
-        parent, links = list(range(len(nodes))), []
+        nodes, texts = rows.column("node").to_pylist(), rows.column("text").to_pylist()
+        number = _codes(rows.column("node"))
+        _, one = np.unique(number, return_index=True)  # a probe may be there in both roles
+        values, counts, cuts = multisets([texts[i] for i in one], Words())
+        ask, other, code = *_roles(rows), _codes(rows.column("component"))
+        near = _similarities(values, counts, cuts, number[ask], number[other]) >= threshold
+        root, links = list(range(int(code.max()) + 1)), []
 
         def find(n):
-            while parent[n] != n:
-                parent[n] = n = parent[parent[n]]
+            while root[n] != n:
+                root[n] = n = root[root[n]]
             return n
 
-        for k in first:
-            a, b = int(left[x[k]]), int(right[y[k]])
-            if _overlap(*((values[cuts[n] : cuts[n + 1]], counts[cuts[n] : cuts[n + 1]]) for n in (a, b))) < threshold:
-                continue
-            p, q = find(int(code[a])), find(int(code[b]))
-            if p != q:
-                parent[p] = q
-                links.append((nodes[a], nodes[b]))
+        while True:  # each time a row that asks is joined to one other at most, until no two components are near
+            near &= code[ask][:, None] != code[other]
+            some = np.flatnonzero(near.any(axis=1))
+            if not len(some):
+                break
+            for a, b in zip(ask[some].tolist(), other[near[some].argmax(axis=1)].tolist(), strict=True):
+                p, q = find(int(code[a])), find(int(code[b]))
+                if p != q:
+                    root[p] = q
+                    links.append((nodes[a], nodes[b]))
+            code = np.array([find(n) for n in range(len(root))])[code]
         return pa.table({"a": pa.array([a for a, _ in links], pa.binary()), "b": pa.array([b for _, b in links], pa.binary())})
 
     return run
 
 
-def _large_groups(large: DataFrame, names: DataFrame, nodes: DataFrame, base: DataFrame, threshold: float) -> DataFrame | None:
-    """Links that the centres left open in buckets of more than ``SMALL`` nodes.
+def _classes(shared: DataFrame, nodes: DataFrame, base: DataFrame, threshold: float) -> DataFrame:
+    """(node, component) of nodes that share buckets (band, node, centre), linked where the multisets of two nodes of a bucket reach the threshold.
 
-    Nodes that share such buckets, directly or through others, form a group. Where a group holds several components, its nodes are dealt into blocks of about ``BLOCK_NODES`` (or ``BLOCK_SHINGLES``), and every two blocks meet in one task of bounded size, which compares all their texts exactly and returns only links between components. Nothing is sent once a pair; a node is sent once for every block of its group.
+    Each step works on what those before left in different components. A node meets one centre, the least of its buckets. Then, as long as that joins many, a node meets the one of its buckets whose signature agrees most with its own and that it has not met. At last whatever pairs are still open and not ruled out by their signatures are compared by their whole texts, in tasks of bounded size that return a spanning set of links. The first steps send at most one pair a node and the last sends no pairs at all, so none grows with the square of a bucket; all treat buckets of every size alike.
     """
-    groups = components(large.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()).select("node", F.col("component").alias("group"))
-    rows = groups.join(names, "node", "left").join(nodes.select("node", "shingles"), "node").select("group", "node", F.coalesce("component", "node").alias("component"), "shingles")
-    rows = materialize(rows, "groups")
-    sizes = rows.groupBy("group").agg(F.count("*").alias("n"), F.sum("shingles").alias("total"), F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most")
-    sizes = sizes.select("group", F.ceil(F.greatest(F.col("n") / BLOCK_NODES, F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    rows = materialize(rows.join(sizes, "group").select("group", "node", "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")), "blocks")
-    if rows.isEmpty():
-        return None
-    texts = _texts(rows.select("node"), nodes, base)
-    sent = rows.join(texts, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    sent = sent.select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "component", "block", "text")
-    return materialize(sent.groupBy("group", "i", "j").applyInArrow(_compare(threshold), "a binary, b binary"), "links")
+    first = shared.where("node <> centre").groupBy(F.col("node").alias("b")).agg(F.min("centre").alias("a")).select("a", "b")
+    tested = _plausible(first, nodes)
+    names = _merged(None, _links(tested, nodes, base, threshold))
+
+    about = nodes.select("node", "signature", "bands")
+    for _ in range(ROUNDS):
+        left = _open(shared, names)
+        found = by_group(_dealt(left, F.lit(1.0), BLOCK_SIGNATURES).join(about.drop("bands"), "node"), TASK, "node", _best, "a binary, b binary, agree int")
+        found = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("a").alias("asker"), "agree").join(tested, ["a", "b"], "left_anti")
+        pairs = materialize(found.groupBy("asker").agg(F.max(F.struct("agree", "a", "b")).alias("best")).select("best.a", "best.b").distinct(), "pairs")
+        links = _links(pairs, nodes, base, threshold)
+        names, few = _merged(names, links), links.count() < pairs.count() / 8
+        tested = tested.unionByName(pairs)
+        discard(left)
+        if few:
+            break
+
+    left = _open(shared, names)
+    suspects = by_group(_dealt(left, F.lit(1.0), BLOCK_SIGNATURES).join(about, "node"), TASK, "node", _suspects, "band long, node binary")
+    suspects = materialize(left.join(suspects.distinct(), ["band", "node"], "left_semi"), "suspects")
+    texts = _texts(suspects.select("node"), nodes, base)
+    share = F.greatest(F.lit(1.0), F.col("shingles") * (BLOCK_NODES / BLOCK_SHINGLES))
+    rows = _dealt(suspects.join(nodes.select("node", "shingles"), "node"), share, BLOCK_NODES).drop("shingles").join(texts, "node")
+    links = materialize(by_group(rows, TASK, "node", _compare(threshold), "a binary, b binary"), "links")
+    names = _merged(names, links)
+    for x in (left, suspects, texts, links):
+        discard(x)
+    return names
 
 
 def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -336,24 +432,16 @@ def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     ``class_id`` is the least doc_id of the class, and its row stays. A null text counts as empty, and texts without words form one class. A null id is larger than any other; only a class of null ids has a null class_id. Of rows that repeat an id and text exactly one is kept. An empty table gives an empty result.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn("tag", F.xxhash64("text"))
-    rows = materialize(base.select("doc_id", "tag", "text").mapInArrow(_profile, PROFILE).withColumn("row", F.monotonically_increasing_id()), "profiles")
+    rows = materialize(base.select("doc_id", "tag", "text").mapInArrow(tidy(_profile), PROFILE).withColumn("row", F.monotonically_increasing_id()), "profiles")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "tag"))
     nodes = rows.groupBy("node").agg(best.alias("best"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("signature").alias("signature"), F.first("shingles").alias("shingles"))
     nodes = materialize(nodes.select("node", "best", "n", "bands", "signature", "shingles", F.col("best.doc_id").alias("stand_in"), F.col("best.tag").alias("tag")), "nodes")
 
     members = nodes.select("node", F.explode("bands").alias("band"))
     centres = members.groupBy("band").agg(F.min("node").alias("centre"), F.count("*").alias("size")).where("size > 1")
-    shared = materialize(members.join(centres, "band").select("band", "node", "centre", "size"), "shared")
-    stars = _plausible(shared.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), nodes)
-    links = _links(stars, nodes, base, threshold)
-    names = components(links)
-    large = _large_groups(shared.where(F.col("size") > SMALL), names, nodes, base, threshold)
-    if large is not None:
-        links = links.unionByName(large)
-        names = components(links)
-    rest = _plausible(_open_pairs(shared.where(F.col("size") <= SMALL), names), nodes)
-    if not rest.isEmpty():
-        names = components(links.unionByName(_links(rest, nodes, base, threshold)))
+    shared = materialize(members.join(centres, "band").select("band", "node", "centre"), "shared")
+    names = _classes(shared, nodes, base, threshold)
+    discard(shared)
 
     named = nodes.join(names, "node", "left").select("node", "n", "best", F.coalesce("component", "node").alias("component"))
     groups = named.groupBy("component").agg(F.min("best").alias("first"), F.sum("n").alias("class_size"))
@@ -366,18 +454,19 @@ def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     Only rows whose id and text repeat among the kept ones are brought together, and only if there are any.
     """
-    rows = near_dedup(docs, id_col=id_col, text_col=text_col, threshold=threshold).groupBy(F.col("doc_id").alias("_kept_id"), F.col("tag").alias("_kept_tag"))
-    kept = materialize(rows.agg(F.max("kept").alias("_kept"), F.count("*").alias("_rows")).where("_kept").drop("_kept"), "kept")
-    row_id, row_tag = F.col(id_col).cast("long"), F.xxhash64(text_or_empty(text_col))
+    names = docs.columns
+    rows = near_dedup(docs, id_col=id_col, text_col=text_col, threshold=threshold).groupBy(F.col("doc_id").alias("kept_id"), F.col("tag").alias("kept_tag"))
+    kept = materialize(rows.agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("kept").drop("kept"), "kept")
+    # By position, as the caller's columns may have any names.
+    keyed = docs.toDF(*(f"c{i}" for i in range(len(names)))).withColumns({"of_id": F.col(f"c{names.index(id_col)}").cast("long"), "of_tag": F.xxhash64(text_or_empty(f"c{names.index(text_col)}"))})
 
     def of(keys: DataFrame) -> DataFrame:
-        return docs.join(keys, row_id.eqNullSafe(F.col("_kept_id")) & (row_tag == F.col("_kept_tag")), "left_semi")
+        return keyed.join(keys, F.col("of_id").eqNullSafe(F.col("kept_id")) & (F.col("of_tag") == F.col("kept_tag")), "left_semi")
 
-    repeated = kept.where("_rows > 1")
-    if repeated.isEmpty():
-        return of(kept)
-    one = of(repeated).withColumns({"_of_id": row_id, "_of_tag": row_tag}).dropDuplicates(["_of_id", "_of_tag"]).drop("_of_id", "_of_tag")
-    return of(kept.where("_rows = 1")).unionByName(one)
+    out, repeated = of(kept), kept.where("n > 1")
+    if not repeated.isEmpty():
+        out = of(kept.where("n = 1")).unionByName(of(repeated).dropDuplicates(["of_id", "of_tag"]))
+    return out.drop("of_id", "of_tag").toDF(*names)
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

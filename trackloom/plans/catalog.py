@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..config import Config
 from ..functions import text as X
 from ..functions.vectors import points
 from ..operators import asof, boxes, captions, clips, curation, frames, gaps, hands, landmarks, merge, motion, rate, stats
+from ..sources import files
+from ..sources import media as media_files
 from .fixtures import DETECTIONS_SQL, MEDIA_SQL, cues, cyclic_points, detections, frames_with_body, media, table
 
 QUERIES: dict = {}
@@ -248,13 +251,13 @@ def q19_vtt_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """WITH existing AS (SELECT o_custkey AS video, max(o_orderkey) AS value FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1),
-incoming AS (SELECT o_custkey AS video, min(o_orderkey) AS value FROM orders WHERE o_orderkey % 3 = 1 GROUP BY 1)
+incoming AS (SELECT o_custkey AS video, min(o_orderkey) AS value FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 1)
 SELECT * FROM existing UNION ALL SELECT * FROM incoming WHERE video NOT IN (SELECT video FROM existing)"""
 )
 def q20_merge_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("video"), F.col("o_orderkey").alias("value"))
     existing = rows.where("value % 3 = 0").groupBy("video").agg(F.max("value").alias("value"))
-    return merge.first_wins(existing, rows.where("value % 3 = 1").withColumn("at", F.col("value")), ["video"], "at")
+    return merge.first_wins(existing, rows.where("value % 3 <> 0").withColumn("at", F.col("value")), ["video"], "at")
 
 
 @query(
@@ -432,3 +435,233 @@ SELECT vec_id, round(CASE WHEN hand <> 0 THEN arm / hand END, 5) AS ratio FROM d
 def q34_arm_hand_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = points(F.col("embedding"), 21)
     return table(spark, sf_dir, "embeddings").select("vec_id", F.round(landmarks.arm_hand_ratio(F.element_at(p, 1), F.element_at(p, 2), p), 5).alias("ratio"))
+
+
+@query(CLIPS_SQL + """SELECT video, person_id, clip_index, min(us) AS start, max(us) AS "end", string_agg(CAST(us AS VARCHAR) || ':' || CAST(CAST(x1 AS BIGINT) AS VARCHAR), ',' ORDER BY us, x1, y1, x2, y2) AS boxes FROM clips GROUP BY ALL""")
+def q35_clip_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clips with their boxes in time order, written as ``time:x1``."""
+    shown = F.transform("boxes", lambda b: F.concat_ws(":", b["ts"].cast("string"), F.element_at(b["box"], 1).cast("bigint").cast("string")))
+    return clips.assemble(_clips(spark, sf_dir), TRACK, "us").select(*TRACK, "clip_index", "start", "end", F.array_join(shown, ",").alias("boxes"))
+
+
+def _holes(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    """Frames (clip, frame) of ``n`` points, of which two in five are missing."""
+    frame = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")).cast("bigint")
+    rows = table(spark, sf_dir, "embeddings").select(F.col("label").alias("clip"), frame.alias("frame"), cyclic_points(F.col("embedding"), n).alias("all"))
+    return rows.select("clip", "frame", F.when(F.col("frame") % 5 > 1, F.col("all")).alias("points"))
+
+
+def _filled_sql(most: int) -> str:
+    return f"""WITH f AS (SELECT label AS clip, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS frame, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[5] AS DOUBLE) AS y FROM embeddings),
+h AS (SELECT clip, frame, CASE WHEN frame % 5 > 1 THEN {{'i': frame, 'x': x, 'y': y}} END AS p FROM f),
+k AS (SELECT *, last_value(p IGNORE NULLS) OVER (PARTITION BY clip ORDER BY frame ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS l,
+        first_value(p IGNORE NULLS) OVER (PARTITION BY clip ORDER BY frame ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS r FROM h),
+g AS (SELECT *, p IS NULL AND l IS NOT NULL AND r IS NOT NULL AND r.i - l.i - 1 <= {most} AS filled FROM k)
+"""
+
+
+@query(_filled_sql(2) + "SELECT clip, frame, filled, round(CASE WHEN filled THEN l.x + (r.x - l.x) / (r.i - l.i - 1) * (frame - l.i) ELSE p.x END, 5) AS x, round(CASE WHEN filled THEN l.y + (r.y - l.y) / (r.i - l.i - 1) * (frame - l.i) ELSE p.y END, 5) AS y FROM g")
+def q36_interpolate_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = gaps.interpolate(_holes(spark, sf_dir, 21), ["clip"], "frame", "points", 2, points=True)
+    return rows.select("clip", "frame", "filled", F.round(F.col("points")[0][0], 5).alias("x"), F.round(F.col("points")[1][1], 5).alias("y"))
+
+
+@query(
+    _filled_sql(1)
+    + "SELECT clip, frame, CASE WHEN p IS NULL AND NOT filled THEN 'missing' WHEN filled THEN 'made' ELSE 'seen' END AS face, round(CASE WHEN filled THEN l.x + (r.x - l.x) / (r.i - l.i) * (frame - l.i) ELSE p.x END, 5) AS x FROM g"
+)
+def q37_face_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faces whose gaps of one frame are filled; what is still missing is infinite in the feature vector."""
+    rows = gaps.interpolate(_holes(spark, sf_dir, 68), ["clip"], "frame", "points", 1, points=True, divide_by_length_plus_one=True)
+    at = F.coalesce(F.col("points"), F.array_repeat(F.array_repeat(F.lit(float("inf")), 3), 68))[0][0]
+    missing = at == F.lit(float("inf"))
+    return rows.select("clip", "frame", F.when(missing, "missing").when(F.col("filled"), "made").otherwise("seen").alias("face"), F.round(F.when(~missing, at), 5).alias("x"))
+
+
+BOXES_SQL = f"""WITH {DETECTIONS_SQL},
+one AS (SELECT video, person_id, us, max(event_id) AS event_id FROM detections GROUP BY ALL),
+boxes AS (SELECT d.* FROM detections d JOIN one USING (event_id))
+"""
+
+
+@query(BOXES_SQL + "SELECT video, CAST(person_id AS VARCHAR) || '.0' AS person_id, us, x1, y1, x2, y2 FROM boxes")
+def q38_detections_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detections as one JSON text a video, read back as rows."""
+    rows = clips.latest_per_timestamp(detections(spark, sf_dir), TRACK, "us", "event_id")
+    rows = rows.select("video", F.concat(F.col("person_id").cast("string"), F.lit(".0")).alias("person_id"), F.col("us").cast("double").alias("ts"), "x1", "y1", "x2", "y2")
+    back = files.parse_frames(files.frames_json(rows, ("video",)), "value", ("video",))
+    return back.select("video", "person_id", F.col("ts").cast("bigint").alias("us"), "x1", "y1", "x2", "y2")
+
+
+@query(
+    """SELECT vec_id, CASE WHEN vec_id % 4 <> 1 THEN round(CAST(embedding[1] AS DOUBLE) * 60 + vec_id % 100, 5) END AS x, CASE WHEN vec_id % 4 <> 1 THEN round(CAST(embedding[5] AS DOUBLE) * 80 + 7, 5) END AS y,
+       CASE WHEN vec_id % 4 <> 1 THEN round(CAST(embedding[9] AS DOUBLE), 5) END AS z FROM embeddings"""
+)
+def q39_crop_to_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("vec_id")
+    moved = landmarks.to_frame(points(F.col("embedding"), 21), F.when(i % 4 != 1, (i % 100).cast("double")), F.lit(7.0), F.lit(60.0), F.lit(80.0))
+    return table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("p")).select("vec_id", *(F.round(F.col("p")[k][k], 5).alias(c) for k, c in enumerate("xyz")))
+
+
+@query("SELECT o_orderkey, printf('%6.2fh', o_totalprice / 3600.0) AS hours, o_orderstatus || '_' || CAST(o_custkey AS VARCHAR) AS person, CAST(o_custkey AS VARCHAR) AS id, o_custkey % 3 = 0 AS digits, CASE WHEN o_orderkey % 4 = 0 THEN 25.0::DOUBLE ELSE CAST(o_orderkey % 4 AS DOUBLE) END AS fps FROM orders")
+def q40_formats_and_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours as text, ids in keys like ``person_7``, keys of digits, and defaults for what is null or zero."""
+    key = F.concat_ws("_", "o_orderstatus", F.col("o_custkey").cast("string"))
+    name = F.when(F.col("o_custkey") % 3 == 0, F.col("o_custkey").cast("string")).otherwise(key)
+    rows = table(spark, sf_dir, "orders")
+    return rows.select("o_orderkey", X.format_hours(F.col("o_totalprice")).alias("hours"), key.alias("person"), X.person_of(key).alias("id"), X.is_number(name).alias("digits"), X.falsy_default((F.col("o_orderkey") % 4).cast("double"), 25.0).alias("fps"))
+
+
+@query(
+    """WITH h AS (SELECT event_id, event_id % 3 AS a, event_id % 5 AS b FROM events)
+SELECT event_id, CASE WHEN b IN (1, 2, 3) THEN event_id + 1 WHEN a IN (1, 2) THEN event_id END AS "left", CASE WHEN b = 0 THEN event_id + 1 WHEN a = 0 THEN event_id END AS "right",
+       CASE WHEN b IN (1, 2) THEN event_id + 1 WHEN a = 1 THEN event_id END AS strict_left FROM h"""
+)
+def q41_pick_hands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two found hands a frame (the second may be none): of each side the last; a side that is neither counts as left unless it must be said."""
+    i = F.col("event_id")
+    none = F.lit(None).cast("struct<side:string,points:bigint>")
+    one = F.struct(F.when(i % 3 == 0, "Right").when(i % 3 == 1, "Left").otherwise("?").alias("side"), i.alias("points"))
+    two = F.when(i % 5 < 4, F.struct(F.when(i % 5 == 0, "Right").when(i % 5 < 3, "Left").otherwise("?").alias("side"), (i + 1).alias("points"))).otherwise(none)
+    hands_ = F.filter(F.array(one, two), lambda h: h.isNotNull())
+    rows = table(spark, sf_dir, "events").select("event_id", landmarks.pick_hands(hands_).alias("p"), landmarks.pick_hands(hands_, strict=True).alias("s"))
+    return rows.select("event_id", "p.left", "p.right", F.col("s.left").alias("strict_left"))
+
+
+@query(
+    """WITH v AS (SELECT doc_id, source, 'v' || doc_id AS stem, doc_id % 3 <> 0 AS labeled FROM documents),
+c AS (SELECT 'v' || conv_id AS stem, string_agg(coalesce(text, ''), ' ' ORDER BY turn) AS vtt FROM conversations GROUP BY 1)
+SELECT v.doc_id, v.labeled, CASE WHEN v.labeled THEN coalesce(c.vtt, '') ELSE '' END AS subtitles FROM v LEFT JOIN c USING (stem)"""
+)
+def q42_captions_of_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labeled and unlabeled videos in one table, with the caption text of the labeled ones."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("v"), F.col("doc_id").cast("string")).alias("stem"), F.lit("s").alias("source"))
+    videos = merge.unite(rows.where("doc_id % 3 <> 0"), rows.where("doc_id % 3 = 0"))
+    said = F.array_sort(F.collect_list(F.struct("turn", F.coalesce("text", F.lit("")).alias("t"))))
+    texts = table(spark, sf_dir, "conversations").groupBy(F.concat(F.lit("v"), F.col("conv_id").cast("string")).alias("stem")).agg(F.array_join(F.transform(said, lambda x: x["t"]), " ").alias("vtt"))
+    return files.captions_of(videos, texts.withColumn("source", F.lit("s"))).select("doc_id", "labeled", "subtitles")
+
+
+@query(
+    f"""WITH {DETECTIONS_SQL},
+s AS (SELECT event_id, event_id % 7 > 1 AS whole, x1, y1, least(greatest(round_even((x1 + 0.1) * 5, 0), 0), 1279) AS a, least(greatest(round_even(y1 * 5, 0), 0), 719) AS b, least(greatest(round_even(x2 * 5, 0), 0), 1279) AS c, least(greatest(round_even(y2 * 5, 0), 0), 719) AS d FROM detections)
+SELECT event_id, CASE WHEN whole THEN 4 ELSE 2 END AS n, CASE WHEN whole THEN least(a, c) ELSE x1 + 0.1 END AS first, CASE WHEN whole THEN least(b, d) ELSE y1 END AS second FROM s"""
+)
+def q43_malformed_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maps of boxes rescaled to 1280 x 720; a box of two values stays as it is."""
+    box = F.when(F.col("event_id") % 7 > 1, F.array(F.col("x1") + 0.1, F.col("y1"), F.col("x2"), F.col("y2"))).otherwise(F.array(F.col("x1") + 0.1, F.col("y1")))
+    scaled = boxes.rescale_boxes(F.create_map(F.lit("1.0"), box), F.lit(5.0), F.lit(1280), F.lit(720))["1.0"]
+    return detections(spark, sf_dir).select("event_id", scaled.alias("b")).select("event_id", F.size("b").alias("n"), F.col("b")[0].alias("first"), F.col("b")[1].alias("second"))
+
+
+@query(
+    GRID_SQL
+    + """, s AS (SELECT video, start, "end", fps FROM media)
+SELECT video, round(CASE WHEN fps <> 50 THEN CAST(video % 1000 AS DOUBLE) / fps END, 6) AS seconds, CAST(trunc((start + 1.25) * fps) AS BIGINT) AS frame, start >= 1.0 AND start < 3.0 AS inside, start >= 1.0 AS after FROM s"""
+)
+def q44_frame_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frame numbers as seconds (none where the rate is 0), the frame shown at a time, and half-open ranges."""
+    rate = F.when(F.col("fps") == 50, F.lit(0.0)).otherwise(F.col("fps"))
+    rows = boxes.frame_number_to_seconds(media(spark, sf_dir).withColumn("ts", (F.col("video") % 1000).cast("double")), rate)
+    at = F.col("start")
+    return rows.select("video", F.round("ts", 6).alias("seconds"), frames.frame_at(at + 1.25, F.col("fps")).alias("frame"), frames.in_range(at, F.lit(1.0), F.lit(3.0)).alias("inside"), frames.in_range(at, F.lit(1.0), None).alias("after"))
+
+
+@query("SELECT vec_id, round(CAST(embedding[4] AS DOUBLE), 5) AS x, round(CAST(embedding[5] AS DOUBLE), 5) AS y, round(CAST(embedding[6] AS DOUBLE), 5) AS z, 21 AS n, 21 AS exported, vec_id % 3 = 0 AS blank FROM embeddings")
+def q45_landmark_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landmark structs as arrays, and an export in which a missing part is points of NaN."""
+    structs = F.transform(points(F.col("embedding"), 21), lambda p: F.struct(p[0].alias("x"), p[1].alias("y"), p[2].alias("z")))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", landmarks.to_arrays(structs).alias("p"))
+    out = landmarks.exported(F.when(F.col("vec_id") % 3 != 0, F.col("p")), 21)
+    return rows.select("vec_id", *(F.round(F.col("p")[1][k], 5).alias(c) for k, c in enumerate("xyz")), F.size("p").alias("n"), F.size(out).alias("exported"), F.isnan(out[0][0]).alias("blank"))
+
+
+@query(
+    f"""WITH {DETECTIONS_SQL}
+SELECT event_id, CAST(trunc(greatest(0.0, x1 + (x2 - x1) / 2 - 80.0 * 1.2 / 2)) AS INTEGER) AS x_start, CAST(trunc(greatest(0.0, y1 + (y2 - y1) / 2 - 120.0 * 1.2 / 2)) AS INTEGER) AS y_start, 96 AS x_size, 144 AS y_size FROM detections"""
+)
+def q46_preview_crop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    region = boxes.preview_region(*(F.col(c) for c in ("x1", "y1", "x2", "y2")), F.lit(80.0), F.lit(120.0))
+    return detections(spark, sf_dir).select("event_id", region.alias("r")).select("event_id", "r.*")
+
+
+VIDEOS_SQL = "WITH v AS (SELECT doc_id, source, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'labeled' ELSE 'unlabeled' END AS category, CASE WHEN doc_id % 9 <> 4 THEN CAST(n_chars AS DOUBLE) / 4 END AS seconds FROM documents)\n"
+
+
+def _videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = curation.with_label(table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"), table(spark, sf_dir, "labels").select("doc_id"), ("doc_id",))
+    return rows.select("doc_id", "source", F.when(F.col("labeled"), "labeled").otherwise("unlabeled").alias("category"), F.when(F.col("doc_id") % 9 != 4, F.col("n_chars").cast("double") / 4).alias("seconds"))
+
+
+@query(VIDEOS_SQL + "SELECT source, category, count(*) AS videos, sum(coalesce(seconds, 0.0)) AS seconds FROM v GROUP BY ALL")
+def q47_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.by_category(_videos(spark, sf_dir))
+
+
+@query(
+    VIDEOS_SQL
+    + """, r AS (SELECT coalesce(source, 'TOTAL') AS source, grouping(source) = 1 AS is_total, sum(CASE WHEN category = 'labeled' THEN coalesce(seconds, 0.0) ELSE 0.0 END) AS l, sum(CASE WHEN category <> 'labeled' THEN coalesce(seconds, 0.0) ELSE 0.0 END) AS u, sum(coalesce(seconds, 0.0)) AS t FROM v GROUP BY ROLLUP (source))
+SELECT is_total, source, printf('%-24s %s %s %s', source, printf('%6.2fh', l / 3600.0), printf('%6.2fh', u / 3600.0), printf('%6.2fh', t / 3600.0)) AS line FROM r"""
+)
+def q48_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.report_lines(stats.report(_videos(spark, sf_dir)))
+
+
+@query("SELECT source, count(*) FILTER (doc_id % 4 > 1) AS with_speech, count(*) FILTER (doc_id % 4 = 1) AS silent FROM documents GROUP BY 1")
+def q49_speech_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    heard = F.when(F.col("doc_id") % 4 == 0, F.lit(None)).when(F.col("doc_id") % 4 == 1, F.array()).otherwise(F.array(F.lit(1)))
+    return curation.speech_counts(table(spark, sf_dir, "documents").select("source", heard.alias("speech")))
+
+
+@query(
+    """WITH d AS (SELECT doc_id, doc_id % 6 = 0 AS done, doc_id % 4 = 1 AS bad FROM documents),
+r AS (SELECT CAST(doc_id AS VARCHAR) || '.mp4' AS target, NOT bad AS ok FROM d WHERE NOT done)
+SELECT target, (SELECT count(*) FROM r WHERE ok) AS success, (SELECT count(*) FROM r WHERE NOT ok) AS failed, (SELECT count(*) FROM d WHERE done) AS completed, (SELECT least(count(*), 50) FROM d WHERE done) AS already FROM r WHERE NOT ok"""
+)
+def q50_fetch_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an archive does not list is fetched by a worker that fails for bad names; the failures, with the run's counters."""
+    items = table(spark, sf_dir, "documents").select(F.concat(F.when(F.col("doc_id") % 4 == 1, "bad").otherwise("good"), F.col("doc_id").cast("string")).alias("item"), F.concat(F.col("doc_id").cast("string"), F.lit(".mp4")).alias("target"), "doc_id")
+    archive = items.where("doc_id % 6 = 0").select("item")
+    results = media_files.fetch(items.select("item", "target").unionByName(items.select("item", "target")), archive)
+    return media_files.failures(results).select("target").join(stats.outcome(results)).join(stats.download_progress(archive, 50))
+
+
+@query(
+    """WITH d AS (SELECT doc_id, CAST(doc_id AS VARCHAR) || '.mp4' AS target, list_extract([144, 360, NULL], doc_id % 3 + 1) AS height FROM documents)
+SELECT target, doc_id % 5 = 0 OR coalesce(height = 144, false) OR doc_id % 4 <> 1 AS ok,
+       CASE WHEN doc_id % 5 = 0 THEN 'exists' WHEN height = 144 THEN 'already 144p' WHEN doc_id % 4 = 1 THEN 'cannot read bad' || doc_id ELSE '' END AS message FROM d"""
+)
+def q51_resize_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Videos that are there or have the height already are left out; an unknown height is worked on."""
+    i = F.col("doc_id")
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.when(i % 4 == 1, "bad").otherwise("good"), i.cast("string")).alias("path"), F.concat(i.cast("string"), F.lit(".mp4")).alias("target"), F.when(i % 3 == 0, 144).when(i % 3 == 1, 360).alias("height"))
+    return media_files.resize(rows.select("path", "target", "height"), rows.where("doc_id % 5 = 0").select("target"))
+
+
+@query(
+    r"""WITH n AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'clip' ELSE 'part-' || (page_id % 40) END || '.mkv' AS name FROM pages)
+SELECT page_id, try_cast(nullif(regexp_extract(split_part(name, '.', 1), '-(\d+)$', 1), '') AS INTEGER) AS number, '/out/s' || (page_id % 2) || '/' || split_part(name, '.', 1) || '.mp4' AS target FROM n"""
+)
+def q52_numbered_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers at the end of file names, and where a converted file goes."""
+    i = F.col("page_id")
+    name = F.concat(F.when(i % 3 == 0, "clip").otherwise(F.concat(F.lit("part-"), (i % 40).cast("string"))), F.lit(".mkv"))
+    rows = media_files.numbered(table(spark, sf_dir, "pages").select("page_id", name.alias("name")))
+    path = F.concat(F.lit("/in/s"), (i % 2).cast("string"), F.lit("/"), F.col("name"))
+    return rows.select("page_id", "number", files.output_path(path, "/in", "/out/").alias("target"))
+
+
+@query(
+    """WITH c(source, subs, auto_subs, generate_subs) AS (VALUES ('src0', true, false, false), ('src1', false, true, false), ('src2', false, false, true)),
+v AS (SELECT doc_id, source, doc_id IN (SELECT doc_id FROM labels) AS vtt, CASE WHEN doc_id % 11 = 0 THEN NULL ELSE doc_id % 7 > 2 END AS speech FROM documents),
+s AS (SELECT v.doc_id, c.*, CASE WHEN (subs OR auto_subs) AND vtt THEN 'labeled' WHEN auto_subs OR generate_subs THEN CASE WHEN speech IS NOT NULL AND NOT speech THEN 'unlabeled' ELSE 'pending' END ELSE 'unlabeled' END AS sorted_status FROM v JOIN c USING (source))
+SELECT doc_id, source, sorted_status, CASE WHEN sorted_status = 'pending' AND generate_subs THEN 'labeled' ELSE sorted_status END AS status FROM s"""
+)
+def q53_curate_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Videos of the configured sources with their status; a source that is not configured has none."""
+    config = Config.from_dict({"sources": [{"name": "src0", "subs": True}, {"name": "src1", "auto_subs": True}, {"name": "src2", "generate_subs": True}]})
+    i = F.col("doc_id")
+    heard = F.when(i % 11 == 0, F.lit(None)).when(i % 7 > 2, F.array(F.lit(1))).otherwise(F.array())
+    videos = table(spark, sf_dir, "documents").select("doc_id", "source", i.cast("string").alias("stem"), heard.alias("speech"))
+    subtitles = table(spark, sf_dir, "labels").join(videos.select("doc_id", "source"), "doc_id").select("source", F.col("doc_id").cast("string").alias("stem"))
+    return curation.curate(videos, config.sources_frame(spark), subtitles).select("doc_id", "source", "sorted_status", "status")

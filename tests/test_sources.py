@@ -128,13 +128,18 @@ def test_streams_agree_with_batches(spark, tmp_path):
     assert {(x.i, x.v, x.filled, x.jumped) for x in got} == want
 
 
+FAKES = {"worker": "trackloom.sources.media:FakeWorker"} | {k: f"trackloom.providers:{v}" for k, v in {"lister": "FakeLister", "probe": "FakeProbe", "decoder": "FakeDecoder", "detector": "FakeDetector", "pose": "FakePose", "speech": "FakeSpeech", "transcriber": "FakeTranscriber"}.items()}
+
+
 def test_command_line(spark, tmp_path, capsys):
     video = tmp_path / "videos" / "a"
     video.mkdir(parents=True)
     for i in range(3):
         (video / f"v{i}.mp4").write_bytes(b"x")
     (video / "v0.es.vtt").write_text("WEBVTT\n\n")
-    config = Config.from_dict({"sources": [{"name": "a", "subs": True}], "options": {"landmarks": {"min_clip_duration_frames": 8}}})
+    config = Config.from_dict({"sources": [{"name": "a", "subs": True}], "options": {"landmarks": {"min_clip_duration_frames": 8}}, "providers": FAKES})
+    with pytest.raises(ValueError):
+        cli.run(spark, Config.from_dict({"sources": [{"name": "a"}]}), str(tmp_path), "sort")
     for _ in range(2):
         cli.run(spark, config, str(tmp_path))
     status = {r.video: r.status for r in spark.read.parquet(str(tmp_path / "tables" / "videos")).collect()}
@@ -143,3 +148,18 @@ def test_command_line(spark, tmp_path, capsys):
     assert marks.count() == marks.dropDuplicates(["source", "video", "person_id", "clip_index", "frame_no"]).count() > 0
     assert spark.read.parquet(str(tmp_path / "tables" / "manifest")).count() == 3
     assert "TOTAL" in capsys.readouterr().out
+    # Videos that wait for captions are left alone until they have them.
+    config = Config.from_dict({"sources": [{"name": "a", "generate_subs": True}], "options": {"landmarks": {"min_clip_duration_frames": 8}}, "providers": FAKES})
+    other = tmp_path / "other"
+    (other / "videos" / "a").mkdir(parents=True)
+    for i in range(4):
+        (other / "videos" / "a" / f"w{i}.mp4").write_bytes(b"x")
+    for step in ("sort", "boxes", "landmarks"):
+        cli.run(spark, config, str(other), step)
+    rows = {r.video: (r.sorted_status, r.status) for r in spark.read.parquet(str(other / "tables" / "videos")).collect()}
+    waiting = {v for v, s in rows.items() if s == ("pending", "labeled")}
+    done = lambda: {r.video for r in spark.read.parquet(str(other / "tables" / "manifest")).collect()}
+    assert waiting and done() == set(rows) - waiting
+    for step in ("transcribe", "boxes", "landmarks"):
+        cli.run(spark, config, str(other), step)
+    assert done() == set(rows) and spark.read.parquet(str(other / "tables" / "manifest")).count() == len(rows)

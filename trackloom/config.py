@@ -73,6 +73,20 @@ class Options:
     landmarks: Landmarks = field(default_factory=Landmarks)
 
 
+@dataclass(frozen=True)
+class Providers:
+    """Who does what needs models or media tools, each as ``module:class``; there are no defaults, as stand-ins must be asked for."""
+
+    lister: str | None = None
+    worker: str | None = None
+    probe: str | None = None
+    decoder: str | None = None
+    detector: str | None = None
+    pose: str | None = None
+    speech: str | None = None
+    transcriber: str | None = None
+
+
 @dataclass(frozen=True)
 class Source:
     name: str
@@ -87,6 +101,13 @@ class Source:
 class Config:
     sources: tuple[Source, ...] = ()
     options: Options = field(default_factory=Options)
+    providers: Providers = field(default_factory=Providers)
+
+    def provider(self, name: str) -> str:
+        """The provider of that name; a step that needs one which is not configured stops."""
+        if not (found := getattr(self.providers, name)):
+            raise ValueError(f"this step needs providers.{name} (module:class) in the configuration")
+        return found
 
     @classmethod
     def from_dict(cls, values: dict) -> Config:
@@ -95,7 +116,7 @@ class Config:
                 raise ValueError(f"a source needs a name: {s}")
         given = values.get("options") or {}
         kinds = {"download": Download, "video_audio_separation": Separation, "whisper": Whisper, "bounding_boxes": BoundingBoxes, "landmarks": Landmarks}
-        return cls(tuple(_of(Source, s) for s in values.get("sources") or ()), Options(**{k: _of(kind, given.get(k)) for k, kind in kinds.items()}))
+        return cls(tuple(_of(Source, s) for s in values.get("sources") or ()), Options(**{k: _of(kind, given.get(k)) for k, kind in kinds.items()}), _of(Providers, values.get("providers")))
 
     @classmethod
     def from_yaml(cls, path: str | Path) -> Config:
@@ -112,5 +133,5 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="trackloom")
     parser.add_argument("--config", required=True)
     parser.add_argument("--workdir", default=str(Path.cwd() / "working"))
-    parser.add_argument("step", nargs="?", choices=("sort", "boxes", "landmarks", "stats", "all"), default="all")
+    parser.add_argument("step", nargs="?", choices=("download", "separate", "sort", "transcribe", "boxes", "landmarks", "stats", "all"), default="all")
     return parser.parse_args(argv)

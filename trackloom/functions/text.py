@@ -77,7 +77,8 @@ def hours(seconds: Column) -> Column:
 
 
 def format_hours(seconds: Column) -> Column:
-    return F.format_string("%6.2fh", hours(seconds).cast("double"))
+    """Hours with two decimals; a number right between two goes to the even one."""
+    return F.format_string("%6.2fh", F.rint(hours(seconds).cast("double") * 100) / 100)
 
 
 def minutes_and_seconds(seconds: Column) -> Column:

@@ -503,13 +503,13 @@ def q39_crop_to_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("p")).select("vec_id", *(F.round(F.col("p")[k][k], 5).alias(c) for k, c in enumerate("xyz")))
 
 
-@query("SELECT o_orderkey, printf('%6.2fh', o_totalprice / 3600.0) AS hours, o_orderstatus || '_' || CAST(o_custkey AS VARCHAR) AS person, CAST(o_custkey AS VARCHAR) AS id, o_custkey % 3 = 0 AS digits, CASE WHEN o_orderkey % 4 = 0 THEN 25.0::DOUBLE ELSE CAST(o_orderkey % 4 AS DOUBLE) END AS fps FROM orders")
+@query("SELECT o_orderkey, printf('%6.2fh', (o_totalprice + 0.001) / 3600.0) AS hours, o_orderstatus || '_' || CAST(o_custkey AS VARCHAR) AS person, CAST(o_custkey AS VARCHAR) AS id, o_custkey % 3 = 0 AS digits, CASE WHEN o_orderkey % 4 = 0 THEN 25.0::DOUBLE ELSE CAST(o_orderkey % 4 AS DOUBLE) END AS fps FROM orders")
 def q40_formats_and_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours as text, ids in keys like ``person_7``, keys of digits, and defaults for what is null or zero."""
     key = F.concat_ws("_", "o_orderstatus", F.col("o_custkey").cast("string"))
     name = F.when(F.col("o_custkey") % 3 == 0, F.col("o_custkey").cast("string")).otherwise(key)
     rows = table(spark, sf_dir, "orders")
-    return rows.select("o_orderkey", X.format_hours(F.col("o_totalprice")).alias("hours"), key.alias("person"), X.person_of(key).alias("id"), X.is_number(name).alias("digits"), X.falsy_default((F.col("o_orderkey") % 4).cast("double"), 25.0).alias("fps"))
+    return rows.select("o_orderkey", X.format_hours(F.col("o_totalprice") + 0.001).alias("hours"), key.alias("person"), X.person_of(key).alias("id"), X.is_number(name).alias("digits"), X.falsy_default((F.col("o_orderkey") % 4).cast("double"), 25.0).alias("fps"))
 
 
 @query(

@@ -109,6 +109,8 @@ class FakeLister:
         return [(f"{url}/{k}", f"item {k}") for k in range(_seed(url) % 4)]
 
 
+#: Pictures that a task holds at a time.
+FRAMES_AT_ONCE = 32
 DETECTED = "source string, video string, person_id string, ts double, x1 double, y1 double, x2 double, y2 double"
 
 
@@ -131,6 +133,45 @@ def detect(frames: DataFrame, detector: str = "trackloom.providers:FakeDetector"
     return frames.select(*keys).repartition("source", "video").sortWithinPartitions("source", "video", "frame_no").mapInArrow(run, DETECTED)
 
 
+def track_videos(videos: DataFrame, rate: float, decoder: str, detector: str) -> DataFrame:
+    """Detections of videos (source, video, path): each is decoded and tracked in the task that has its row, so frames never leave it and nothing is shuffled but the paths. Videos go one by one to ``spark.sql.shuffle.partitions`` tasks."""
+
+    def run(batches):
+        reader, own = load(decoder), load(detector)
+        for batch in batches:
+            for source, video, path in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                own.start(f"{source}/{video}")
+                out = [(source, video, person, ts, *map(float, box[:4])) for number, ts, data in reader.frames(path, 0.0, None, max(1, round(reader.fps(path) / rate))) for person, box in own.track(number, data).items()]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["source", "video", "person_id", "ts", "x1", "y1", "x2", "y2"])
+
+    return videos.select("source", "video", "path").repartition("source", "video").mapInArrow(run, DETECTED)
+
+
+def decode_frames(rows: DataFrame, videos: DataFrame, decoder: str) -> DataFrame:
+    """Adds ``data``, the picture of each frame (source, video, frame_no), read in the task that has the rows of a video's clip, in runs of frames that follow each other."""
+    paths = rows.join(videos.select("source", "video", "path"), ["source", "video"])
+    dealt = paths.repartition("source", "video", "person_id", "clip_index").sortWithinPartitions("source", "video", "person_id", "clip_index", "frame_no")
+
+    def run(batches):
+        reader = load(decoder)
+        for batch in batches:
+            names = batch.schema.names
+            path, number = (batch.column(names.index(c)).to_pylist() for c in ("path", "frame_no"))
+            lo = 0
+            while lo < batch.num_rows:
+                hi = lo + 1
+                while hi < min(batch.num_rows, lo + FRAMES_AT_ONCE) and path[hi] == path[lo] and number[hi] > number[hi - 1]:
+                    hi += 1
+                fps, asked = reader.fps(path[lo]), set(number[lo:hi])
+                seen = {k: x for k, _, x in reader.frames(path[lo], number[lo] / fps, (number[hi - 1] + 1) / fps, 1) if k in asked}
+                part = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([seen.get(k) for k in number[lo:hi]], pa.binary())], names=[*names, "data"])
+                lo = hi
+
+    return dealt.mapInArrow(run, T.StructType([*dealt.schema.fields]).add("data", T.BinaryType())).drop("path")
+
+
 def estimate_poses(frames: DataFrame, model: str = "trackloom.providers:FakePose") -> DataFrame:
     """Adds ``keypoints`` (133 x 3, null without a box) to frames with frame_no, data and box; the model is made once a task."""
 

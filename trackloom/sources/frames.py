@@ -8,7 +8,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 class FrameSource(DataSource):
     """``spark.read.format("frames")``: sampled frames of videos, one partition per video.
 
-    Options: ``videos`` (paths by lines), ``rate``, ``start``, ``end`` (half-open, seconds), ``decoder`` (``module:class``). Rows: path, frame_no, ts, data. Sampling and range reach the decoder, so that frames that nobody asked for are not converted.
+    Options: ``videos`` (paths by lines), ``rate``, ``start``, ``end`` (half-open, seconds), ``decoder`` (``module:class``). Rows: path, frame_no, ts, data. For tables of videos see ``providers.track_videos``, which needs no list of paths. Sampling and range reach the decoder, so that frames that nobody asked for are not converted.
     """
 
     @classmethod

@@ -63,11 +63,11 @@ def test_decontaminate(spark):
     item = "The quick brown fox jumps over the lazy dog while nine bright stars quietly follow the river down to the sea."
     bench = spark.createDataFrame([(1, item), (2, None), (3, "short"), (4, "another passage that is present here only once, and in a single piece of it.")], "item_id long, text string")
     near = item.replace("brown", "browm").upper().replace(" ", "\n ")
-    rows = [(1, f"lead in text. {near} and more"), (2, None), (3, ""), (4, "clean " * 5000), (None, item), (5, item[:50]), (6, "x" * 300000 + item), (6, "short"), (7, "y " + "another passage that is present here only once, and in a single piece of it." + item)]
+    rows = [(1, f"lead in text. {near} and more"), (2, None), (3, ""), (4, "clean " * 5000), (None, item), (5, item[:50]), (6, "x" * 300000 + item), (8, "short"), (7, "y " + "another passage that is present here only once, and in a single piece of it." + item)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'clash' as contaminated", "1 as tag", "'z' as item_id")
     for options in ({}, {"block_bytes": 100}):
         got = {(x.doc_id, x.contaminated): list(x.item_ids) for x in decontaminate(docs.repartition(3), bench, **options).collect()}
-        assert got == {(1, True): [1], (2, False): [], (3, False): [], (4, False): [], (None, True): [1], (5, False): [], (6, True): [1, 3], (7, True): [1, 4]}
+        assert got == {(1, True): [1], (2, False): [], (3, False): [], (4, False): [], (None, True): [1], (5, False): [], (6, True): [1], (8, True): [3], (7, True): [1, 4]}
     assert decontaminate(docs, bench.limit(0)).where("contaminated").count() == 0
     assert decontaminate(docs.limit(0), bench).count() == 0
 

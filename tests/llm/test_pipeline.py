@@ -63,3 +63,13 @@ def test_stages(spark, corpus, tmp_path):
     assert ids(after["source_weights"]) == +want
     assert ids(after["tokens"]) == ids(before["tokens"])
     assert {tuple(r) for r in cp.run(spark, corpus).collect()} == {tuple(r) for r in after["tokens"].collect()}
+
+
+def test_clashing_columns_stay(spark, corpus):
+    from trackloom.llm.mixing import take_mix
+    from trackloom.llm.near_dedup import drop_near_copies
+    from trackloom.llm.quality import quality_filter
+
+    docs = spark.read.parquet(f"{corpus}/documents.parquet").selectExpr("*", "doc_id + 1 as _kept_id", "doc_id + 2 as _quality_score", "doc_id + 3 as copies", "doc_id + 4 as key", "doc_id + 5 as c1", "doc_id + 6 as n")
+    own = lambda df: df.columns == docs.columns and all(r.doc_id is None or [r._kept_id, r._quality_score, r.copies, r.key, r.c1, r.n] == [r.doc_id + i for i in range(1, 7)] for r in df.collect())
+    assert own(take_mix(docs)) and own(quality_filter(docs, spark.read.parquet(f"{corpus}/labels.parquet"))) and own(drop_near_copies(docs.limit(20)))

@@ -11,6 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from trackloom.llm import exact_dedup as exact
 from trackloom.llm.exact_dedup import exact_dedup, golomb_decode, golomb_encode
 from trackloom.llm.mixing import mix_sources
 from trackloom.llm.token_blocks import _encoder, decode_block, decode_shard, encode_shard, read_token_blocks, write_token_blocks
@@ -56,6 +57,25 @@ def test_exact_dedup(spark, options):
     assert exact_dedup(df.limit(0)).count() == 0
 
 
+def test_exact_dedup_messages_stay_linear():
+    per_document = []
+    for total in (10**9, 10**10, 10**11, 10**12):
+        blocks = total / exact.BLOCK_ROWS
+        per_document.append(blocks * exact.owners_for(total, exact.BLOCK_ROWS, 200) / total)
+    assert max(per_document) <= 1 / exact.MESSAGE and exact.owners_for(0, 1, 4) == 4
+
+
+def test_exact_dedup_hot_groups(spark, monkeypatch):
+    """Groups over the bound take the broadcast, others the join; both in one result."""
+    monkeypatch.setattr(exact, "HOT_ROWS", 5)
+    rows = [(i, "hot" if i % 3 else f"text {i % 40}") for i in range(240)]
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[t].append(i)
+    got = {g.doc_id: (g.keep_id, g.group_size, g.kept) for g in exact_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == {i: (max(groups[t]), len(groups[t]), i == max(groups[t])) for i, t in rows}
+
+
 def test_mixing(spark):
     df, rows = sample(spark)
     size = lambda t: len((t or "").encode().split())

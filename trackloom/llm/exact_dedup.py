@@ -1,11 +1,13 @@
 """Exact deduplication by a Golomb-coded fingerprint exchange.
 
-1. One pass over the documents leaves, per block of at most ``block_rows`` documents, the ids and SHA-256 digests (a table in the shared folder, so block numbers stay fixed if a task runs again).
+1. One pass over the documents writes ids and SHA-256 digests. Read back, that table packs many input partitions into one, and is written as blocks of at most ``block_rows`` documents (a table in the shared folder, so block numbers stay fixed if a task runs again).
 2. Each block sorts its distinct ``fp_bits``-bit fingerprints, cuts them by owner (ranges of the fingerprint space) and sends each owner one Golomb-coded gap list.
 3. An owner decodes the lists it got, finds fingerprints that more than one block sent, and answers each block with a bitmap over that block's sorted list.
 4. Documents whose fingerprint repeats inside the block or is marked in a bitmap are suspects. Only their texts are shuffled, and grouped by their bytes; that grouping decides.
 
 A block sends a fingerprint once however often it occurs there, and texts are grouped with map-side combining, so a group of copies that holds a third of all rows costs an owner one entry a block. Nothing is collected to the driver but the number of documents.
+
+There are blocks times owners messages. Owners are at most ``block_rows / MESSAGE``, so with full blocks a message carries ``MESSAGE`` fingerprints or more on average, and the number of messages grows in proportion to the documents, not with their square. Copies learn their group by a join on the digest; groups of more than a ``HOT``-th of all rows, of which there can be no more than ``HOT``, take part by a broadcast, so no task gets a whole hot group.
 """
 
 from __future__ import annotations
@@ -20,8 +22,11 @@ from pyspark.sql import functions as F
 from .common import materialize, shuffle_partitions, table, text_or_empty, tidy
 
 FINGERPRINT_BITS = 48
-BLOCK_ROWS = 1 << 18
+BLOCK_ROWS = 1 << 19
 OWNER_FINGERPRINTS = 1 << 20
+MESSAGE = 64
+HOT = 1 << 16
+HOT_ROWS = 1 << 10
 
 
 def golomb_encode(values: np.ndarray, low: int) -> tuple[int, bytes]:
@@ -131,6 +136,11 @@ def _mark(owners: int, bits: int):
     return run
 
 
+def owners_for(total: int, block_rows: int, least: int) -> int:
+    """How many owners ``total`` documents need: ``OWNER_FINGERPRINTS`` each, but no more than leaves ``MESSAGE`` fingerprints for a message of a full block."""
+    return max(least, min(-(-total // OWNER_FINGERPRINTS), max(1, block_rows // MESSAGE)))
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, fp_bits: int = FINGERPRINT_BITS, block_rows: int = BLOCK_ROWS, owners: int | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -138,9 +148,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    blocks = materialize(base.select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest")).mapInArrow(tidy(_blocks(block_rows)), "block long, n long, ids array<long>, digests binary"), "blocks")
-    total = blocks.agg(F.sum("n")).first()[0] or 0
-    owners = owners or max(shuffle_partitions(spark), -(-total // OWNER_FINGERPRINTS))
+    digests = materialize(base.select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest")), "digests")
+    total = digests.count()
+    blocks = materialize(digests.mapInArrow(tidy(_blocks(block_rows)), "block long, n long, ids array<long>, digests binary"), "blocks")
+    owners = owners or owners_for(total, block_rows, shuffle_partitions(spark))
     sent = blocks.select("block", "digests").mapInArrow(tidy(_send(owners, fp_bits)), "owner int, block long, n int, k int, data binary")
     answers = sent.groupBy("owner").applyInArrow(_answer(owners, fp_bits), "block long, owner int, bitmap binary")
     answers = answers.groupBy("block").agg(F.collect_list(F.struct("owner", "bitmap")).alias("answers"))
@@ -150,10 +161,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Semi join without a hint: broadcast only where Spark has measured the suspect ids as small, else by a shuffle on the id.
     ids = suspects.select(F.col("doc_id").alias("suspect_id")).distinct()
     texts = base.join(ids, base.doc_id.eqNullSafe(ids.suspect_id), "left_semi")
-    same = texts.groupBy(F.unhex(F.sha2("text", 256)).alias("digest"), "text").agg(F.count("*").alias("copies")).where("copies > 1").select("digest", "copies")
-    groups = same.join(suspects.groupBy("digest").agg(F.max(F.struct("doc_id", "row")).alias("best")), "digest")
+    same = texts.groupBy(F.unhex(F.sha2("text", 256)).alias("digest"), "text").agg(F.count("*").alias("copies")).where("copies > 1")
+    # Different texts under one digest would be an error of the digest, which no join by digest may hide.
+    same = same.groupBy("digest").agg(F.count("*").alias("texts"), F.first("copies").alias("copies")).select("digest", F.when(F.col("texts") == 1, F.col("copies")).otherwise(F.raise_error(F.lit("different texts share a SHA-256 digest")).cast("long")).alias("copies"))
+    groups = materialize(same.join(suspects.groupBy("digest").agg(F.max(F.struct("doc_id", "row")).alias("best")), "digest"), "groups")
+    hot = F.col("copies") > max(HOT_ROWS, -(-total // HOT))
+    large = F.broadcast(groups.where(hot).select("digest", F.col("copies").alias("large_copies"), F.col("best").alias("large_best")))
+    suspects = suspects.join(large, "digest", "left")
+    few = suspects.where("large_copies is null").drop("large_copies", "large_best").join(groups.where(~hot), "digest", "left")
+    many = suspects.where("large_copies is not null").withColumnsRenamed({"large_copies": "copies", "large_best": "best"})
     one = marked.where("not suspect").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
-    more = suspects.join(groups, "digest", "left").select(
+    more = few.unionByName(many).select(
         "doc_id",
         F.when(F.col("best").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
         F.coalesce("copies", F.lit(1)).cast("long").alias("group_size"),

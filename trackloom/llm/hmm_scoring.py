@@ -4,7 +4,7 @@ Tokens are the words between white space of the text with A-Z lower-cased, then
 
 1. Each partition counts its training words; the counts are added to a vocabulary table.
 2. All documents are written as symbol sequences, with their rare words beside them.
-3. Baum-Welch: each partition runs scaled forward-backward over its training sequences; expected counts are added over partitions; ``ROUNDS`` times over all training documents. It starts from states that stand for clusters of the head words by their byte pairs.
+3. Baum-Welch: each partition runs scaled forward-backward over its training sequences; expected counts are added over partitions; over all training documents, until a round gains less than ``GAIN`` a token. It starts from states that stand for clusters of the head words by their byte pairs.
 4. The scaled forward recursion scores every sequence, and the rare words' counts are joined in.
 """
 
@@ -23,7 +23,7 @@ from .common import add_up, bucket_of, discard, materialize, share, table, text_
 STATES = 8
 HEAD = 1 << 16
 TAIL = 1 << 10
-ROUNDS = 2
+GAIN = 0.05  # log10 probability a token
 FOLDS = 7
 FOLD = 2
 END = b""
@@ -190,9 +190,9 @@ def forward(model: Model, flat: np.ndarray, lengths: np.ndarray, keep: bool = Fa
     return (out, alpha, scale, symbols, running, cells) if keep else out
 
 
-def expected_counts(model: Model, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected starts, moves and emissions of sequences under the model (one step of Baum-Welch)."""
-    _, alpha, scale, symbols, running, cells = forward(model, flat, lengths, True)
+def expected_counts(model: Model, flat: np.ndarray, lengths: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+    """Log10 likelihood, and expected starts, moves and emissions, of sequences under the model (one step of Baum-Welch)."""
+    likelihood, alpha, scale, symbols, running, cells = forward(model, flat, lengths, True)
     states = len(model.start)
     move = np.zeros((states, states))
     beta, back = np.ones((0, states), np.float32), model.move.T.copy()
@@ -207,7 +207,7 @@ def expected_counts(model: Model, flat: np.ndarray, lengths: np.ndarray) -> tupl
         beta = now
         alpha[at] *= beta
     emit = np.stack([np.bincount(symbols, alpha[:, s], len(model.emit)) for s in range(states)], axis=1)
-    return alpha[: int(running[0])].sum(axis=0, dtype=np.float64) if len(running) else np.zeros(states), move * model.move, emit
+    return float(likelihood.sum()), alpha[: int(running[0])].sum(axis=0, dtype=np.float64) if len(running) else np.zeros(states), move * model.move, emit
 
 
 def _groups(batches, column: int):
@@ -231,13 +231,14 @@ def _groups(batches, column: int):
 def _learn(shared):
     def run(batches):
         model: Model = shared.value
-        sums = None
+        sums, found = None, 0.0
         for _, flat, lengths in _groups(batches, 0):
-            got = expected_counts(model, flat, lengths)
+            likelihood, *got = expected_counts(model, flat, lengths)
+            found += likelihood
             sums = got if sums is None else tuple(a + b for a, b in zip(sums, got, strict=True))
         if sums is not None:
             start, move, emit = sums
-            rows = [(-1, np.concatenate((start, move.ravel())))] + [(i // CHUNK, emit[i : i + CHUNK].ravel()) for i in range(0, len(emit), CHUNK)]
+            rows = [(-1, np.concatenate((start, move.ravel(), [found])))] + [(i // CHUNK, emit[i : i + CHUNK].ravel()) for i in range(0, len(emit), CHUNK)]
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int32()), pa.array([x.astype(np.float64).tobytes() for _, x in rows], pa.binary())], ["part", "sums"])
 
     return run
@@ -275,23 +276,25 @@ def _head(words: DataFrame, most: int) -> list[tuple[bytes, int]]:
     return sorted(((bytes(w), c) for w, c in chosen.select("word", "c").collect()), key=lambda x: (x[0] != END, -x[1], x[0]))
 
 
-def fit(encoded: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> Model:
-    """Baum-Welch over the symbol sequences in ``encoded``."""
-    spark, model = encoded.sparkSession, Model.first(v)
-    for _ in range(rounds):
+def fit(encoded: DataFrame, v: Vocabulary, gain: float = GAIN) -> Model:
+    """Baum-Welch over the symbol sequences in ``encoded``, until a round gains less than ``gain`` a token (log10). Each round gains at least that and the likelihood is bounded, so it ends."""
+    spark, model, before = encoded.sparkSession, Model.first(v), None
+    while True:
         shared = spark.sparkContext.broadcast(model)
         sums = add_up(encoded.select("symbols").mapInArrow(tidy(_learn(shared)), "part int, sums binary")).collect()
+        shared.destroy()
         got = {i: np.frombuffer(x) for i, x in sums}
         if not got:
-            break
-        s = len(model.start)
+            return model
+        s, found = len(model.start), got[-1][-1] / v.total
         emit = np.concatenate([got[i] for i in range(-(-v.symbols // CHUNK))]).reshape(-1, s)
-        model = Model.of_counts(got[-1][:s], got[-1][s:].reshape(s, s), emit, v)
-        shared.destroy()
-    return model
+        model = Model.of_counts(got[-1][:s], got[-1][s:-1].reshape(s, s), emit, v)
+        if before is not None and found - before < gain:
+            return model
+        before = found
 
 
-def hmm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = FOLDS, fold: int = FOLD, head: int = HEAD, rounds: int = ROUNDS) -> DataFrame:
+def hmm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = FOLDS, fold: int = FOLD, head: int = HEAD, gain: float = GAIN) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from rows whose crc32(doc_id as text) mod ``folds`` is not ``fold`` (a null id as the empty text). A null text counts as empty: it is the end token alone. ``base_score`` sums log10((c + 1) / (N + V + 1)); ``score`` is the model's log10 probability of all tokens. Rows that repeat count as often as they occur. An empty table gives an empty result; with no row to learn from every word is unknown.
@@ -308,7 +311,7 @@ def hmm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     v = Vocabulary(top, tail, total, distinct)
 
     encoded = materialize(base.mapInArrow(tidy(_encode(share(spark, v))), ENCODED).withColumn("row", F.monotonically_increasing_id()), "encoded")
-    model = fit(encoded.where(train), v, rounds)
+    model = fit(encoded.where(train), v, gain)
     shared = share(spark, (model, v.tail_log, len(v.words)))
     scored = encoded.select("row", "doc_id", "n_tokens", "head_known", "head_log", "symbols").mapInArrow(tidy(_score(shared)), "row long, doc_id long, n_tokens long, head_known long, head_log double, part_score double")
     rare = encoded.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.times")

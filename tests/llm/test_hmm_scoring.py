@@ -92,3 +92,21 @@ def test_within_symbols_probabilities_sum_to_one():
     m = H.Model.first(v, 3)
     assert np.allclose(m.emit.sum(axis=0), 1, atol=1e-5) and np.allclose(m.move.sum(axis=1), 1, atol=1e-5)
     assert sum((c + 1) / 10 ** v.tail_log[3] for c in (3, 1)) + 1 / 10 ** v.tail_log[3] == pytest.approx(1)
+
+
+@pytest.mark.parametrize("most", [50, 300, 10**6])
+def test_groups_hold_every_row_once(monkeypatch, most):
+    import pyarrow as pa
+
+    monkeypatch.setattr(H, "BATCH_TOKENS", most)
+    monkeypatch.setattr(H, "LENGTHS", (4, 16))
+    r = np.random.default_rng(2)
+    seqs = [np.arange(n, dtype=np.int32) + i for i, n in enumerate(r.choice([1, 3, 4, 9, 16, 70], 60))]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(lo, lo + 15)), pa.array([s.tobytes() for s in seqs[lo : lo + 15]], pa.binary())], ["id", "s"]) for lo in range(0, 60, 15)]
+    seen = []
+    for parts, flat, lengths in H._groups(iter(batches), 1):
+        ids = [i for p in parts for i in p.column(0).to_pylist()]
+        assert lengths.tolist() == [len(seqs[i]) for i in ids] and flat.tolist() == np.concatenate([seqs[i] for i in ids]).tolist()
+        assert lengths[:-1].sum() < most
+        seen += ids
+    assert sorted(seen) == list(range(60)) and list(H._groups(iter([]), 1)) == []

@@ -28,6 +28,7 @@ FOLDS = 7
 FOLD = 2
 END = b""
 BATCH_TOKENS = 1 << 20
+LENGTHS = (1 << 10, 1 << 12)  # sequences run beside others of their class of lengths
 COUNTER_WORDS = 1 << 18
 CHUNK = 4096  # symbols a message carries when expected counts are added
 
@@ -175,10 +176,11 @@ def forward(model: Model, flat: np.ndarray, lengths: np.ndarray, keep: bool = Fa
     symbols = _by_step(flat, lengths, order, running)
     alpha = np.empty((len(flat), len(model.start)), np.float32) if keep else None
     scale = np.empty(len(flat), np.float32)
+    emit = model.emit.take(symbols, axis=0)
     state = np.broadcast_to(model.start, (len(lengths), len(model.start)))
     for t, n in enumerate(running.tolist()):
         at = slice(cells[t], cells[t] + n)
-        state = (state[:n] @ model.move if t else state[:n]) * model.emit[symbols[at]]
+        state = (state[:n] @ model.move if t else state[:n]) * emit[at]
         total = state.sum(axis=1)
         scale[at] = total
         state = state / total[:, None]
@@ -187,21 +189,22 @@ def forward(model: Model, flat: np.ndarray, lengths: np.ndarray, keep: bool = Fa
     lane = np.arange(len(flat)) - np.repeat(cells[:-1], running)
     out = np.empty(len(lengths))
     out[order] = np.bincount(lane, np.log10(scale.astype(np.float64)), len(lengths))
-    return (out, alpha, scale, symbols, running, cells) if keep else out
+    return (out, alpha, scale, symbols, emit, running, cells) if keep else out
 
 
 def expected_counts(model: Model, flat: np.ndarray, lengths: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
     """Log10 likelihood, and expected starts, moves and emissions, of sequences under the model (one step of Baum-Welch)."""
-    likelihood, alpha, scale, symbols, running, cells = forward(model, flat, lengths, True)
+    likelihood, alpha, scale, symbols, emitted, running, cells = forward(model, flat, lengths, True)
     states = len(model.start)
     move = np.zeros((states, states))
     beta, back = np.ones((0, states), np.float32), model.move.T.copy()
+    emitted /= scale[:, None]
     for t in range(len(running) - 1, -1, -1):
         n, at = int(running[t]), slice(cells[t], cells[t] + int(running[t]))
         now = np.ones((n, states), np.float32)
         if len(beta):
             later = slice(cells[t + 1], cells[t + 1] + len(beta))
-            ahead = model.emit[symbols[later]] * beta / scale[later, None]
+            ahead = emitted[later] * beta
             move += alpha[at][: len(beta)].T @ ahead
             now[: len(beta)] = ahead @ back
         beta = now
@@ -211,21 +214,35 @@ def expected_counts(model: Model, flat: np.ndarray, lengths: np.ndarray) -> tupl
 
 
 def _groups(batches, column: int):
-    """Rows until BATCH_TOKENS symbols are together: (batch parts, symbols one after the other, lengths)."""
-    parts, data, size = [], [], 0
+    """Rows until BATCH_TOKENS symbols are together: (batch parts, symbols one after the other, lengths).
+
+    A recursion takes as many steps as its longest sequence has symbols, so long sequences wait for others of their class; what is left at the end runs together where it fits.
+    """
+    waiting: list = [([], [], 0) for _ in range(len(LENGTHS) + 1)]
+
+    def group(parts, data):
+        return parts, np.frombuffer(b"".join(data), np.int32), np.array([len(d) // 4 for d in data])
+
     for batch in batches:
-        lo = 0
-        for i, x in enumerate(batch.column(column).to_pylist()):
-            data.append(x)
-            size += len(x) // 4
-            if size >= BATCH_TOKENS:
-                parts.append(batch.slice(lo, i + 1 - lo))
-                yield parts, np.frombuffer(b"".join(data), np.int32), np.array([len(d) // 4 for d in data])
-                parts, data, size, lo = [], [], 0, i + 1
-        if lo < batch.num_rows:
-            parts.append(batch.slice(lo))
-    if data:
-        yield parts, np.frombuffer(b"".join(data), np.int32), np.array([len(d) // 4 for d in data])
+        values = batch.column(column).to_pylist()
+        kinds = np.searchsorted(LENGTHS, [len(x) // 4 for x in values], side="right")
+        for kind in np.unique(kinds).tolist():
+            parts, data, size = waiting[kind]
+            at, lo = np.flatnonzero(kinds == kind), 0
+            for i, j in enumerate(at.tolist()):
+                data.append(values[j])
+                size += len(values[j]) // 4
+                if size >= BATCH_TOKENS:
+                    yield group([*parts, batch.take(pa.array(at[lo : i + 1]))], data)
+                    parts, data, size, lo = [], [], 0, i + 1
+            if lo < len(at):
+                parts.append(batch.take(pa.array(at[lo:])))
+            waiting[kind] = (parts, data, size)
+    if sum(size for _, _, size in waiting) <= BATCH_TOKENS:
+        waiting = [(sum((p for p, _, _ in waiting), []), sum((d for _, d, _ in waiting), []), 0)]
+    for parts, data, _ in waiting:
+        if data:
+            yield group(parts, data)
 
 
 def _learn(shared):

@@ -128,6 +128,33 @@ def test_streams_agree_with_batches(spark, tmp_path):
     assert {(x.i, x.v, x.filled, x.jumped) for x in got} == want
 
 
+def test_streams_of_poses(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    schema = "k string, i long, v array<array<double>>"
+    frames = [("k", i, [[float(i * i), 1.0], [0.5 * i, -float(i)]] if i % 7 not in (2, 3) and not 20 <= i < 30 else None) for i in range(1, 60)]
+    got = stream(spark, tmp_path, [frames[:25], frames[25:]], schema, lambda s: tracks.stream_fill_gaps(s, ["k"], "i", "v", 3), "poses_out")
+    filled = gaps.interpolate(spark.createDataFrame(frames, schema), ["k"], "i", "v", 3, points=True).where("v is not null")
+    want = {(x.i, str(x.v), x.filled, x.jumped) for x in gaps.jumps(filled, ["k"], "i").collect()}
+    assert {(x.i, str(x.v), x.filled, x.jumped) for x in got} == want
+
+
+def test_stream_forgets_keys_that_end(spark, tmp_path):
+    import time
+
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    for part in ([("a", 0.0), ("a", 5.0)], [("a", 10.0), ("a", 10.5)]):
+        spark.createDataFrame(part, "k string, ts double").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema("k string, ts double").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = tracks.stream_clips(source, ["k"], 1.0, ttl_ms=1).writeStream.format("memory").queryName("ended_out").outputMode("append").option("checkpointLocation", str(tmp_path / "at")).start()
+    try:
+        until = time.time() + 60
+        while time.time() < until and q.isActive and spark.table("ended_out").count() < 4:
+            time.sleep(0.5)
+        assert sorted((x.ts, x.clip_index) for x in spark.table("ended_out").collect()) == [(0.0, 0), (5.0, 1), (10.0, 0), (10.5, 0)]
+    finally:
+        q.stop()
+
+
 FAKES = {"worker": "trackloom.sources.media:FakeWorker"} | {k: f"trackloom.providers:{v}" for k, v in {"lister": "FakeLister", "probe": "FakeProbe", "decoder": "FakeDecoder", "detector": "FakeDetector", "pose": "FakePose", "speech": "FakeSpeech", "transcriber": "FakeTranscriber"}.items()}
 
 

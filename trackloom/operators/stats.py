@@ -35,6 +35,11 @@ def outcome(results: DataFrame, ok: str = "ok") -> DataFrame:
     return results.agg(F.count_if(F.col(ok)).alias("success"), F.count_if(~F.col(ok)).alias("failed"))
 
 
+def examples(results: DataFrame, most: int = 10, ok: str = "ok", order: str = "target") -> DataFrame:
+    """At most ``most`` results that are not good, by ``order``: a top-k, not a full sort."""
+    return results.where(~F.col(ok)).orderBy(order).limit(most)
+
+
 def download_progress(archive: DataFrame, wanted: int) -> DataFrame:
     """Items done, by the archive of all sources, and how many of ``wanted`` that can be."""
     return archive.agg(F.count("*").alias("completed"), F.least(F.count("*"), F.lit(wanted)).alias("already"))

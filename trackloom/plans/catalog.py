@@ -665,3 +665,23 @@ def q53_curate_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     videos = table(spark, sf_dir, "documents").select("doc_id", "source", i.cast("string").alias("stem"), heard.alias("speech"))
     subtitles = table(spark, sf_dir, "labels").join(videos.select("doc_id", "source"), "doc_id").select("source", F.col("doc_id").cast("string").alias("stem"))
     return curation.curate(videos, config.sources_frame(spark), subtitles).select("doc_id", "source", "sorted_status", "status")
+
+
+@query(
+    """WITH a AS (SELECT source, 'v' || (doc_id // 2) AS stem, '/audio/' || doc_id || '.mp3' AS path FROM documents WHERE doc_id % 3 <> 1)
+SELECT v.doc_id, v.source, a.audio FROM documents v LEFT JOIN (SELECT source, stem, min(path) AS audio FROM a GROUP BY 1, 2) a ON a.source = v.source AND a.stem = 'v' || v.doc_id"""
+)
+def q54_audio_of_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each video with its sound file; some have none, some two."""
+    i = F.col("doc_id")
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source")
+    stem = lambda n: F.concat(F.lit("v"), n.cast("string")).alias("stem")
+    audio = rows.where(i % 3 != 1).select("source", stem(F.floor(i / 2)), F.concat(F.lit("/audio/"), i.cast("string"), F.lit(".mp3")).alias("path"))
+    return files.with_audio(rows.select("doc_id", "source", stem(i)), audio).select("doc_id", "source", "audio")
+
+
+@query("SELECT '/' || page_id || '.mp4' AS target, 'cannot read ' || url AS message FROM pages WHERE page_id % 4 = 1 ORDER BY target LIMIT 10")
+def q55_failure_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten first failures of a run over all pages."""
+    rows = table(spark, sf_dir, "pages").select(F.concat(F.lit("/"), F.col("page_id").cast("string"), F.lit(".mp4")).alias("target"), (F.col("page_id") % 4 != 1).alias("ok"), F.concat(F.lit("cannot read "), F.col("url")).alias("message"))
+    return stats.examples(rows).select("target", "message")

@@ -92,6 +92,12 @@ def captions_of(videos: DataFrame, captions: DataFrame) -> DataFrame:
     return videos.join(text, ["source", "stem"], "left").withColumn("subtitles", F.when(F.col("labeled"), F.coalesce("_vtt", F.lit(""))).otherwise("")).drop("_vtt")
 
 
+def with_audio(videos: DataFrame, audio: DataFrame) -> DataFrame:
+    """Adds ``audio``: the path of the sound file of the same source and stem, else null; of several files the first by path."""
+    first = audio.groupBy("source", "stem").agg(F.min("path").alias("audio"))
+    return videos.join(first, ["source", "stem"], "left")
+
+
 def read_url_list(spark: SparkSession, path: str) -> DataFrame:
     """The list's lines that are not blank, as ``url``."""
     return spark.read.text(path).select(F.trim("value").alias("url")).where("url <> ''")

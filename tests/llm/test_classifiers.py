@@ -65,11 +65,46 @@ def test_toxicity(spark):
     got = toxicity.toxicity_scores(docs.repartition(3), labels).collect()
     assert len(got) == n and held_out_auc(got, data, 4, 2) > 0.95
     by = {g.doc_id: g.n_windows for g in got}
-    assert by[9003] == -(-(40000 - 32) // 16) + 1 and by[9002] == 1
+    assert by[9003] == -(-(40000 - toxicity.WINDOW) // toxicity.STRIDE) + 1 and by[9002] == 1
     assert toxicity.toxicity_scores(docs.limit(0), labels).count() == 0
     assert len({g.score for g in toxicity.toxicity_scores(docs.limit(5), labels.limit(0)).collect()}) == 1
 
 
+def plain_logit(net, x):
+    """One window's logit, word by word, in plain numpy; x (words, INPUTS)."""
+    h, sig = toxicity.HIDDEN, lambda a: 1 / (1 + np.exp(-a))
+    states = np.zeros((len(x), 2 * h))
+    for d in (0, 1):
+        state = np.zeros(h)
+        for t in range(len(x))[:: 1 if d == 0 else -1]:
+            gate, own = x[t] / net.scale @ net.p["w"][d] + net.p["b"][d], state @ net.p["u"][d]
+            z, r = sig(gate[:h] + own[:h]), sig(gate[h : 2 * h] + own[h : 2 * h])
+            state = z * state + (1 - z) * np.tanh(gate[2 * h :] + r * own[2 * h :])
+            states[t, d * h : (d + 1) * h] = state
+    weight = np.exp(states @ net.p["v"]) if len(x) else np.zeros(0)
+    return (weight @ states / weight.sum() if len(x) else np.zeros(2 * h)) @ net.p["o"] + net.p["c"][0]
+
+
+def test_window_scores_against_plain_recursion(monkeypatch):
+    r, rng = random.Random(5), np.random.default_rng(5)
+    monkeypatch.setattr(toxicity, "WINDOWS_AT_ONCE", 7)
+    net = toxicity.Network()
+    own = toxicity.Inputs(rng.normal(size=toxicity.WORD_BUCKETS).astype(np.float32), rng.normal(size=toxicity.GRAM_BUCKETS).astype(np.float32))
+    texts = ["", "one", " ".join(["so"] * 33), *(" ".join(r.choice(["Über", "a!", "x-y", "re", "ma", "!!"]) for _ in range(k)) for k in (31, 32, 35, 36, 37, 70, 2)), ""]
+    ids, n = own.ids(texts)
+    begin, text = toxicity.windows(n)
+    got = toxicity.window_logits(net, net.project(own.rows[: own.used]), ids, n)
+    want = []
+    for t, words in enumerate(x.lower().split() for x in texts):
+        starts, k = [0], 0
+        while k + toxicity.WINDOW < len(words):
+            starts.append(k := k + toxicity.STRIDE)
+        assert begin[text == t].tolist() == starts
+        for k in starts:
+            want.append(plain_logit(net, own.features(words[k : k + toxicity.WINDOW]).astype(float) if words else np.zeros((0, toxicity.INPUTS))))
+    assert np.allclose(got, want, atol=1e-5)
+
+
 @pytest.mark.parametrize("name", ["w", "u", "v", "o", "b", "c"])
 def test_gradients(name):
     rng = np.random.default_rng(0)

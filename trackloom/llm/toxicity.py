@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .common import add_up, bucket_of, materialize, share, table, text_or_empty, tidy
 
 WINDOW = 32
-STRIDE = 16
+STRIDE = 4
 HIDDEN = 8
 NOISE = 3
 INPUTS = 4 + NOISE
@@ -85,16 +85,18 @@ class Inputs:
         return np.fromiter((number[w] for s in split for w in s), np.int64, int(n.sum())), n
 
 
-def windows(ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All overlapping windows (row numbers, 0 after the end) and the text of each; a text without words has one empty window."""
+def windows(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the overlapping windows of texts of ``n`` words begin, and the text of each; a text without words has one empty window."""
     count = np.maximum(1, -(-(n - WINDOW) // STRIDE) + 1)
     text = np.repeat(np.arange(len(n)), count)
-    order = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    at = order[:, None] * STRIDE + np.arange(WINDOW)
-    inside = at < n[text, None]
-    start = np.cumsum(n) - n
-    padded = np.append(ids, 0)
-    return np.where(inside, padded[np.minimum(at + start[text, None], len(ids))], 0), text
+    return (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)) * STRIDE, text
+
+
+def words_of(ids: np.ndarray, n: np.ndarray, begin: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Row numbers of the words of windows, 0 after the end."""
+    at = begin[:, None] + np.arange(WINDOW)
+    start = (np.cumsum(n) - n)[text, None]
+    return np.where(at < n[text, None], np.append(ids, 0)[np.minimum(at + start, len(ids))], 0)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -191,13 +193,53 @@ class Network:
         return self
 
 
-def window_logits(network: Network, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Logits of windows given as row numbers into projected rows."""
-    out = np.empty(len(at), np.float32)
-    for lo in range(0, len(at), WINDOWS_AT_ONCE):
-        few = at[lo : lo + WINDOWS_AT_ONCE].T
-        out[lo : lo + WINDOWS_AT_ONCE] = network.logits(rows[few], (few > 0)[:, :, None])
-    return out
+def window_logits(network: Network, rows: np.ndarray, ids: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Logits of the windows that :func:`windows` names; ``ids`` are row numbers into projected rows.
+
+    The same recursion as :meth:`Network.logits`, laid out so that every operation runs along windows: texts begin at multiples of ``STRIDE`` in one stream, so step t of neighbouring windows is a run of the stream's words t mod ``STRIDE``. Windows that begin too near a text's end to be asked for are computed and left out.
+    """
+    s, h, p = STRIDE, HIDDEN, network.p
+    room = -(-np.maximum(n, 1) // s)
+    total, more = int(room.sum()), -(-WINDOW // s)
+    first, text = np.cumsum(room) - room, np.repeat(np.arange(len(n)), room)
+    begin = (np.arange(total) - first[text]) * s
+    stream = np.zeros((total + more) * s, np.int64)
+    stream[np.repeat(first * s - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
+    sign = np.tile(np.repeat(np.array([-1, 1], np.float32), (2 * h, h)), 2)  # 1 / (1 + exp(-x)) without the minus
+    turn = [np.ascontiguousarray((p["u"][d] * sign[: 3 * h]).T, np.float32) for d in (0, 1)]
+    heads = np.stack((p["v"], p["o"])).astype(np.float32)
+    out = np.empty(total, np.float32)
+    for lo in range(0, total, WINDOWS_AT_ONCE):
+        hi = min(total, lo + WINDOWS_AT_ONCE)
+        gates = (rows[stream[lo * s : (hi + more) * s]] * sign).reshape(-1, s, 6 * h).transpose(1, 2, 0).copy()
+        live = np.arange(WINDOW)[:, None] < (n[text[lo:hi]] - begin[lo:hi])
+        whole, states = live.all(axis=1), np.empty((WINDOW, 2 * h, hi - lo), np.float32)
+        gate, zr, new = np.empty((3 * h, hi - lo), np.float32), np.empty((2 * h, hi - lo), np.float32), np.empty((h, hi - lo), np.float32)
+        for d in (0, 1):
+            state = np.zeros((h, hi - lo), np.float32)
+            for t in range(WINDOW) if d == 0 else range(WINDOW - 1, -1, -1):
+                x = gates[t % s, d * 3 * h : (d + 1) * 3 * h, t // s : t // s + hi - lo]
+                np.matmul(turn[d], state, out=gate)
+                np.add(gate[: 2 * h], x[: 2 * h], out=zr)
+                with np.errstate(over="ignore"):
+                    np.exp(zr, out=zr)
+                zr += 1
+                np.reciprocal(zr, out=zr)
+                np.multiply(zr[h:], gate[2 * h :], out=new)
+                new += x[2 * h :]
+                np.tanh(new, out=new)
+                after = states[t, d * h : (d + 1) * h]
+                np.subtract(state, new, out=after)
+                after *= zr[:h]
+                after += new
+                if not whole[t]:
+                    np.copyto(after, state, where=~live[t])
+                state = after
+        both = np.matmul(heads, states)
+        weight = np.where(live, both[:, 0], np.float32(-30))
+        weight = np.exp(weight - weight.max(axis=0))
+        out[lo:hi] = (weight * both[:, 1]).sum(axis=0) / weight.sum(axis=0) + np.float32(p["c"][0])
+    return out[begin < np.maximum(1, -(-(n - WINDOW) // s) + 1)[text] * s]
 
 
 def _chunks(texts: list[str]):
@@ -247,11 +289,14 @@ def _pick(inputs, network):
             for label, few in ((x, few) for x in (0, 1) for _, few in _chunks([t for t, y in both if y == x])):
                 own = by_label[label]
                 ids, n = own.ids(few)
-                at, text = windows(ids, n)
+                begin, text = windows(n)
                 if network is None:
-                    scores = (np.maximum(own.rows[:, 0], 0) + np.maximum(own.rows[:, 2], 0))[at].sum(axis=1)
+                    odds = np.maximum(own.rows[:, 0], 0) + np.maximum(own.rows[:, 2], 0)
+                    upto = np.append(0, np.cumsum(np.rint(odds * (1 << 20)).astype(np.int64)[ids]))  # whole numbers: sums are exact
+                    start = (np.cumsum(n) - n)[text]
+                    scores = upto[start + np.minimum(begin + WINDOW, n[text])] - upto[start + begin]
                 else:
-                    scores = window_logits(network, network.project(own.rows[: own.used]), at)
+                    scores = window_logits(network, network.project(own.rows[: own.used]), ids, n)
                 order = np.lexsort((-scores, text))
                 firsts = np.searchsorted(text[order], np.arange(len(few)))
                 chosen = []
@@ -261,7 +306,7 @@ def _pick(inputs, network):
                         total = int((firsts[i + 1] if i + 1 < len(few) else len(order)) - firsts[i])
                         here.append(int(order[firsts[i] + zlib.crc32(t.encode("utf-8", "replace")) % total]))
                     chosen += here
-                x = own.rows[at[chosen]]
+                x = own.rows[words_of(ids, n, begin[chosen], text[chosen])]
                 yield pa.RecordBatch.from_arrays([pa.array([label] * len(chosen), pa.int32()), pa.array([w.tobytes() for w in x], pa.binary())], ["label", "inputs"])
 
     return run
@@ -308,8 +353,8 @@ def _score(shared):
         for batch in batches:
             for lo, texts in _chunks(batch.column(1).to_pylist()):
                 ids, n = own.ids(texts)
-                at, text = windows(ids, n)
-                logits = window_logits(network, own.rows, at)
+                text = windows(n)[1]
+                logits = window_logits(network, own.rows, ids, n)
                 best = np.maximum.reduceat(logits, np.searchsorted(text, np.arange(len(texts))))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(texts)), pa.array(_sigmoid(best.astype(np.float64))), pa.array(np.bincount(text, minlength=len(texts)), pa.int64())], ["doc_id", "score", "n_windows"])
 

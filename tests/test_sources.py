@@ -2,6 +2,7 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from trackloom.operators import clips, gaps, rate
 from trackloom.plans.landmarks import landmark_dataset
 from trackloom.providers import detect, estimate_poses, listen, probe_media, transcribe
 from trackloom.sources import files
-from trackloom.sources.frames import ChannelSource, FrameSource
+from trackloom.sources.frames import CameraSource, ChannelSource, FrameSource
 from trackloom.streaming import tracks
 
 
@@ -65,10 +66,10 @@ def test_frame_source_and_providers(spark):
     spark.dataSource.register(FrameSource)
     spark.dataSource.register(ChannelSource)
     rows = spark.read.format("frames").option("videos", "p/a\np/b").option("start", "1").option("end", "2").load()
-    assert sorted(r.frame_no for r in rows.where("path = 'p/a'").collect()) == [28, 32, 36, 40, 44, 48]
+    assert sorted(r.frame_no for r in rows.where("path = 'p/a'").collect()) == [25, 29, 33, 37, 41, 45, 49]
     assert spark.read.format("channel").option("urls", "u\nw").load().count() >= 2
     found = detect(rows.withColumn("source", F.lit("s")).withColumnRenamed("path", "video"))
-    assert found.columns[:4] == ["source", "video", "person_id", "ts"] and found.where("ts = 36 / 25.0").count() == 0 and found.count() > 0
+    assert found.columns[:4] == ["source", "video", "person_id", "ts"] and found.where("ts = 37 / 25.0").count() == 0 and found.count() > 0
     posed = estimate_poses(rows.limit(2).withColumn("box", F.when(F.col("frame_no") > 28, F.array(*map(F.lit, (0.0, 0.0, 1.0, 1.0))))))
     assert {None if r.keypoints is None else len(r.keypoints) for r in posed.collect()} <= {None, 133}
     videos = spark.createDataFrame([("s", f"v{i}", f"p{i}") for i in range(12)], "source string, video string, path string")
@@ -108,6 +109,25 @@ def stream(spark, tmp_path, rows, schema, plan, name):
     return spark.sql(f"SELECT * FROM {name}").collect()
 
 
+def test_camera_stream_keeps_the_rate(spark, tmp_path):
+    spark.dataSource.register(CameraSource)
+    live = spark.readStream.format("camera").option("fps", "4").option("batch", "7").load()
+    query = live.writeStream.format("memory").queryName("camera_out").option("checkpointLocation", str(tmp_path / "c")).start()
+    query.processAllAvailable()
+    query.stop()
+    got = sorted(map(tuple, spark.sql("SELECT frame_no, ts, data FROM camera_out").collect()))
+    assert [(n, t, bytes(x)) for n, t, x in got] == [(n, n / 10, n.to_bytes(4, "little")) for n in range(0, 50, 3)]
+
+
+def test_neutral_hand(spark, tmp_path):
+    hand = np.arange(63, dtype=np.float32).reshape(21, 3)
+    np.save(tmp_path / "hand.npy", hand)
+    np.save(tmp_path / "short.npy", hand[:5])
+    assert files.read_neutral_hand(spark, str(tmp_path / "hand.npy")) == hand.tolist()
+    with pytest.raises(ValueError, match="21 points"):
+        files.read_neutral_hand(spark, str(tmp_path / "short.npy"))
+
+
 def test_streams_agree_with_batches(spark, tmp_path):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     import random

@@ -18,10 +18,18 @@ from pyspark.sql import types as T
 
 
 class FrameDecoder(Protocol):
+    """Frames of a video in [start, end) seconds: number in the video, timestamp, picture. Of the frames in that range the first and every ``skip``-th after it come."""
+
     def fps(self, path: str) -> float: ...
     def frames(self, path: str, start: float, end: float | None, skip: int) -> Iterator[tuple[int, float, bytes]]: ...
 
 
+class Camera(Protocol):
+    """A live picture source: the seconds on its clock and the next picture, None where it has ended."""
+
+    def read(self) -> tuple[float, bytes] | None: ...
+
+
 class MediaProbe(Protocol):
     def probe(self, path: str) -> dict: ...
 
@@ -63,9 +71,19 @@ class FakeDecoder:
     def frames(self, path, start, end, skip):
         total = 25 * (4 + _seed(path) % 8)
         last = total if end is None else min(total, int(np.ceil(end * 25)))
-        for n in range(max(0, int(np.ceil(start * 25))), last):
-            if n % skip == 0:
-                yield n, n / 25.0, n.to_bytes(4, "little")
+        for n in range(max(0, int(np.ceil(start * 25))), last, skip):
+            yield n, n / 25.0, n.to_bytes(4, "little")
+
+
+class FakeCamera:
+    """Fifty pictures, one every tenth of a second of its own clock."""
+
+    def __init__(self):
+        self.n = 0
+
+    def read(self):
+        self.n += 1
+        return ((self.n - 1) / 10.0, (self.n - 1).to_bytes(4, "little")) if self.n <= 50 else None
 
 
 class FakeProbe:

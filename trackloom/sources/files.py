@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import io
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,6 +122,15 @@ def read_landmarks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_neutral_hand(spark: SparkSession, path: str) -> list[list[float]]:
+    """The hand that ``operators.hands.complete_hand`` starts from: 21 points (x, y, z) of a NumPy file in any store that Spark reads. Any other shape is an error."""
+    data = spark.read.format("binaryFile").load(path).select("content").head()[0]
+    hand = np.load(io.BytesIO(data), allow_pickle=False)
+    if hand.shape != (21, 3):
+        raise ValueError(f"{path}: a hand has 21 points of 3 numbers, not {hand.shape}")
+    return hand.astype(float).tolist()
+
+
 def heights_json(videos: DataFrame) -> DataFrame:
     """One JSON object of heights by name; unknown heights are null."""
     return videos.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("video", F.col("height").cast("int")))))).alias("value"))

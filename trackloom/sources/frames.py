@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
 
 class FrameSource(DataSource):
@@ -47,6 +47,52 @@ class FrameReader(DataSourceReader):
             yield partition.path, number, ts, data
 
 
+class CameraSource(DataSource):
+    """``spark.readStream.format("camera")``: a live camera, at most ``fps`` pictures a second of its clock; a picture that comes earlier than 1 / ``fps`` after the last one kept is dropped.
+
+    Options: ``camera`` (``module:class``), ``fps``, ``batch`` (pictures read at most a micro-batch). Rows: frame_no (of all pictures, dropped ones too), ts, data. One machine has the camera, so the driver reads it. A camera cannot go back: pictures of a batch that a restarted query asks for again are gone, and such a batch is empty.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "camera"
+
+    def schema(self) -> str:
+        return "frame_no bigint, ts double, data binary"
+
+    def simpleStreamReader(self, schema):
+        return CameraReader(self.options)
+
+
+class CameraReader(SimpleDataSourceStreamReader):
+    def __init__(self, options):
+        self.name, self.gap, self.batch = options.get("camera", "trackloom.providers:FakeCamera"), 1 / float(options.get("fps", "24")), int(options.get("batch", "256"))
+        self.camera, self.kept_at = None, None
+
+    def initialOffset(self) -> dict:
+        return {"frame": 0}
+
+    def read(self, start: dict):
+        from ..providers import load
+
+        self.camera = self.camera or load(self.name)
+        rows, at = [], start["frame"]
+        for _ in range(self.batch):
+            if (shot := self.camera.read()) is None:
+                break
+            if self.kept_at is None or shot[0] - self.kept_at >= self.gap:
+                self.kept_at = shot[0]
+                rows.append((at, *shot))
+            at += 1
+        return iter(rows), {"frame": at}
+
+    def readBetweenOffsets(self, start: dict, end: dict):
+        return iter([])
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
 class ChannelSource(DataSource):
     """``spark.read.format("channel")``: what a channel lists, without fetching it. Options: ``urls`` (by lines), ``lister`` (``module:class``). Rows: url, item, title; something that is no playlist lists itself."""
 

@@ -129,6 +129,36 @@ def test_gradients(name):
         assert abs((up - down) / (2 * e) - g[at]) < 1e-6
 
 
+def test_vectors_and_pooling_against_plain_loops(spark):
+    texts = ["", "The cat, the cat SAT!", "so so so Über-x re 12 12", None, "alone", "x " * 300 + "end.", "The cat, the cat SAT!"]
+    docs = spark.createDataFrame([(t or "",) for t in texts], "text string").repartition(3)
+    units, (dims, signs) = quality.Units(), quality.index_vectors()
+    own = lambda w: (units[w] & (quality.WORDS - 1), quality.WORDS + (units[w] >> 14))
+    want = np.zeros((quality.UNITS, quality.DIMS))
+    for t in texts:
+        words = (t or "").split()
+        for i, w in enumerate(words):
+            for unit, other in (own(w), own(w)[::-1]):
+                beside = [u for j in (i - 1, i + 1) if 0 <= j < len(words) for u in own(words[j])]
+                for near in [other, *beside]:
+                    for d, sign in zip(dims[near], signs[near], strict=True):
+                        want[unit, d] += sign
+    want = want / np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-9)
+    got = quality.unit_vectors(docs)
+    assert np.allclose(got, want, atol=1e-6) and np.abs(want).sum() > 0
+    pooled = quality._pooled([t or "" for t in texts], units, got)
+    for t, row in zip(texts, pooled, strict=True):
+        words = (t or "").split()
+        plain = np.zeros(quality.FEATURES)
+        if words:
+            plain[: quality.DIMS] = np.mean([got[own(w)[0]] for w in words], axis=0)
+            plain[quality.DIMS : 2 * quality.DIMS] = np.mean([got[own(w)[1]] for w in words], axis=0)
+            plain[-3] = sum(own(a) == own(b) for a, b in zip(words, words[1:], strict=False)) / len(words)
+            plain[-2] = np.log1p(len(words)) / 10
+        plain[-1] = not words
+        assert np.allclose(row, plain, atol=1e-5), t
+
+
 def test_temperature_restores_probabilities():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(4000, quality.FEATURES))
